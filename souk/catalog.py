@@ -351,7 +351,7 @@ QUERIES: dict[str, Query] = {
     # silver
     "payments_per_order": lambda s: silver.payments_per_order(s.tables.payments),
     "reviews_per_order": lambda s: silver.reviews_per_order(s.tables.reviews),
-    "items_per_order": lambda s: silver.items_per_order(silver.items_enriched(s.tables)),
+    "items_per_order": lambda s: silver.items_per_order(s.tables),
     "product_category_join": product_category_join,
     "items_enriched": lambda s: silver.items_enriched(s.tables),
     "dedup_orders": dedup_orders,

@@ -235,7 +235,7 @@ RELATIONS = {
                cast(sum(total_payment_value) as double) / count(*) avg_order_value,
                cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days,
-               sum(total_items) total_items_sold, count(distinct customer_unique_id) unique_customers
+               cast(sum(total_items) as bigint) total_items_sold, count(distinct customer_unique_id) unique_customers
         from silver where main_category_english <> 'unknown' group by main_category_english""",
     "top_cats": """
         select upper(main_category_english[1]) || main_category_english[2:] category, round(total_revenue, 2) revenue,
@@ -363,7 +363,7 @@ ORDER_DOCUMENT = f"""
            satisfaction_level review__satisfaction_level
     from silver"""
 
-SEGMENT_COUNT = "sum(case when segment_name = '{s}' then 1 else 0 end) \"{s}\""
+SEGMENT_COUNT = "count(*) filter (segment_name = '{s}') \"{s}\""
 CUSTOMER_ROW = (
     "customer_unique_id, segment_name segment, customer_city city, customer_state state, recency, "
     "cast(monetary as double) monetary"

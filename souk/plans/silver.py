@@ -92,40 +92,78 @@ def translated_products(products: DataFrame, translation: DataFrame) -> DataFram
     return products.join(one_row_per_key(translation, "product_category_name"), "product_category_name", "left")
 
 
+def product_rows(tables: Tables) -> DataFrame:
+    return one_row_per_key(translated_products(tables.products, tables.category_translation), "product_id")
+
+
+def seller_rows(tables: Tables) -> DataFrame:
+    sellers = tables.sellers.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix")
+    return one_row_per_key(sellers, "seller_id")
+
+
 def items_enriched(tables: Tables) -> DataFrame:
     """Items with the columns of their product and seller. A hot product or seller is a skewed key on the item
     side only, which AQE splits: the next shuffle is on another key."""
-    products = one_row_per_key(translated_products(tables.products, tables.category_translation), "product_id")
-    sellers = tables.sellers.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix")
-    return tables.order_items.join(products, "product_id", "left").join(
-        one_row_per_key(sellers, "seller_id"), "seller_id", "left"
+    return tables.order_items.join(product_rows(tables), "product_id", "left").join(
+        seller_rows(tables), "seller_id", "left"
     )
 
 
-def items_per_order(items: DataFrame) -> DataFrame:
-    """Totals of an order's items; category and seller are those of its first item."""
-    first = F.min(
-        F.struct(
-            "order_item_id",
-            "product_id",
-            "seller_id",
-            "product_category_name_english",
-            "product_category_name",
-            "seller_city",
-            "seller_state",
-        )
-    )
+def item_totals(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
         rows().alias("total_items"),
         F.sum("price").alias("total_price"),
         F.sum("freight_value").alias("total_freight_value"),
+        *(mean(f"product_{p}").alias(f"avg_product_{p}") for p in PRODUCT_AVERAGES),
+    )
+
+
+def item_varieties(order_items: DataFrame) -> DataFrame:
+    """Distinct counts are kept apart from the totals: Spark expands the rows once per distinct column, and here
+    only the three ids are expanded."""
+    return order_items.groupBy("order_id").agg(
         F.count_distinct("product_id").alias("unique_products"),
         F.count_distinct("seller_id").alias("unique_sellers"),
-        first.getField("product_category_name_english").alias("main_category_english"),
-        first.getField("product_category_name").alias("main_category"),
-        first.getField("seller_city").alias("seller_city"),
-        first.getField("seller_state").alias("seller_state"),
-        *(mean(f"product_{p}").alias(f"avg_product_{p}") for p in PRODUCT_AVERAGES),
+    )
+
+
+def first_items(tables: Tables) -> DataFrame:
+    """Category and seller of each order's first item: the ids are picked first, then looked up once per order."""
+    first = F.min(F.struct("order_item_id", "product_id", "seller_id")).alias("first")
+    picked = tables.order_items.groupBy("order_id").agg(first).select("order_id", "first.product_id", "first.seller_id")
+    found = picked.join(product_rows(tables), "product_id", "left").join(seller_rows(tables), "seller_id", "left")
+    return found.select(
+        "order_id",
+        F.col("product_category_name_english").alias("main_category_english"),
+        F.col("product_category_name").alias("main_category"),
+        "seller_city",
+        "seller_state",
+    )
+
+
+def items_per_order(tables: Tables) -> DataFrame:
+    """Totals of an order's items; category and seller are those of its first item.
+
+    Three narrow aggregates on the same key instead of one wide one: a query that uses none of the columns of one
+    of them does not run it.
+    """
+    joined = (
+        item_totals(tables.order_items.join(product_rows(tables), "product_id", "left"))
+        .join(item_varieties(tables.order_items), "order_id", "left")
+        .join(first_items(tables), "order_id", "left")
+    )
+    return joined.select(
+        "order_id",
+        "total_items",
+        "total_price",
+        "total_freight_value",
+        "unique_products",
+        "unique_sellers",
+        "main_category_english",
+        "main_category",
+        "seller_city",
+        "seller_state",
+        *(f"avg_product_{p}" for p in PRODUCT_AVERAGES),
     )
 
 
@@ -139,7 +177,7 @@ def merged_orders(tables: Tables) -> DataFrame:
     """One row per order with customer, items, payments and reviews; 36 columns."""
     return (
         dedup_orders(tables.orders.join(one_row_per_key(tables.customers, "customer_id"), "customer_id", "left"))
-        .join(items_per_order(items_enriched(tables)), "order_id", "left")
+        .join(items_per_order(tables), "order_id", "left")
         .join(payments_per_order(tables.payments), "order_id", "left")
         .join(reviews_per_order(tables.reviews), "order_id", "left")
     )

@@ -60,6 +60,11 @@ class Shop:
     def orders(self) -> DataFrame:
         return silver.order_features(silver.clean_orders(self.merged))
 
+    @cached_property
+    def written(self) -> DataFrame:
+        """The silver columns that summaries and item joins read, as a written table."""
+        return stage(self.orders.select("order_id", "seller_state", *documents.SUMMARY_COLUMNS))
+
     @cached_property
     def purchases(self) -> DataFrame:
         return with_calendar(star.purchases_from_events(self.spark, self.root), "order_purchase_timestamp")
@@ -97,7 +102,7 @@ class Shop:
 
     @cached_property
     def products(self) -> DataFrame:
-        return documents.product_documents(self.orders, self.tables)
+        return documents.product_documents(self.written, self.tables)
 
     # Models
 
@@ -303,7 +308,8 @@ def revenue_converted(s: Shop) -> DataFrame:
 
 
 def aggregations_union(s: Shop) -> DataFrame:
-    return documents.aggregations_union(s.orders, s.customers)
+    """Five summaries of the same orders: the columns they use are written once and read five times."""
+    return documents.aggregations_union(s.written, s.customers)
 
 
 def monetary_winsorised(s: Shop) -> DataFrame:
@@ -399,10 +405,10 @@ QUERIES: dict[str, Query] = {
     # documents and summaries
     "order_documents": order_documents,
     "customer_documents": lambda s: s.customers,
-    "product_reviews": lambda s: documents.product_reviews(s.orders, s.tables.order_items),
+    "product_reviews": lambda s: documents.product_reviews(s.written, s.tables.order_items),
     "product_stats": lambda s: s.products,
-    "seller_metrics": lambda s: documents.seller_metrics(s.orders, s.tables.order_items),
-    "seller_stats": lambda s: documents.seller_documents(s.orders, s.tables),
+    "seller_metrics": lambda s: documents.seller_metrics(s.written, s.tables.order_items),
+    "seller_stats": lambda s: documents.seller_documents(s.written, s.tables),
     "gold_monthly": lambda s: documents.gold_monthly(s.orders),
     "gold_category": lambda s: documents.gold_category(s.orders),
     "gold_state": lambda s: documents.gold_state(s.orders),
@@ -478,7 +484,10 @@ _shops: dict[tuple[str, str], Shop] = {}
 
 def shop(spark: SparkSession, root: str) -> Shop:
     """One ``Shop`` per application and folder, so that written tables and fitted models are built once."""
-    return _shops.setdefault((spark.sparkContext.applicationId, root), Shop(spark, root))
+    key = spark.sparkContext.applicationId, root
+    if key not in _shops:
+        _shops[key] = Shop(spark, root)
+    return _shops[key]
 
 
 def forget() -> None:

@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 from souk.functions.measures import mean, mean_of_ratios
 from souk.models import evaluation
 from souk.operators.rows import with_split, with_stratified_split
-from souk.plans.churn import FEATURES, with_class_weight, with_risk
+from souk.plans.churn import (
+    FEATURES,
+    TRAINING_DEFAULTS,
+    serving_scores,
+    with_class_weight,
+    with_levels,
+    with_risk,
+)
 from souk.plans.rfm import CUSTOMER
+from souk.plans.silver import with_defaults
 
 SEED = 42
 
@@ -64,6 +72,25 @@ class Churn:
         return evaluation.importance_table(labelled.sparkSession, self.features, found)
 
 
+def served(customers: DataFrame, model: Churn | None = None) -> DataFrame:
+    """Probability, label and level of every customer: from the model, or from the risk formula if there is none."""
+    if model is None:
+        return serving_scores(customers)
+    inputs = with_defaults(
+        customers.select(
+            CUSTOMER,
+            "recency",
+            "frequency",
+            F.col("monetary").cast("double").alias("monetary"),
+            F.col("avg_review_score").alias("avg_review"),
+            "avg_delivery_days",
+        ),
+        TRAINING_DEFAULTS,
+    )
+    probability = F.round(evaluation.positive_probability(), 3).alias("probability")
+    return with_levels(model.predictions(inputs).select(CUSTOMER, probability))
+
+
 def training_rows(labelled: DataFrame) -> DataFrame:
     return labelled.filter(F.col("split") == "train")
 

@@ -25,8 +25,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Key]) -> D
 
 
 def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key of a dimension table, the smallest. As an aggregate it is known to be unique on the key, so
-    a left join to it disappears from plans that use none of its columns."""
+    """The smallest row of each key. As an aggregate it is known to be unique on the key, so a left join to it
+    disappears from plans that use none of its columns."""
     rest = [c for c in df.columns if c != key]
     return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*")
 

@@ -55,19 +55,23 @@ def minmax_risk(customers: DataFrame) -> DataFrame:
     return scored.withColumn("label", (F.col("risk") > risk.LABEL_ABOVE).cast("int"))
 
 
-def serving_scores(customers: DataFrame) -> DataFrame:
-    """Probability, yes/no label and level for every customer."""
-    inputs = with_defaults(customers.select(CUSTOMER, *DOCUMENT_FACTORS.values()), SERVING_DEFAULTS)
-    scored = inputs.select(CUSTOMER, risk.serving_risk(DOCUMENT_FACTORS).alias("probability"))
+def with_levels(scored: DataFrame) -> DataFrame:
+    probability = F.col("probability")
     return scored.withColumns(
         {
-            "at_risk": F.col("probability") >= risk.LABEL_ABOVE,
-            "risk_level": labels.risk_level(F.col("probability")),
-            "risk_badge": labels.risk_badge(F.col("probability")),
+            "at_risk": probability >= risk.LABEL_ABOVE,
+            "risk_level": labels.risk_level(probability),
+            "risk_badge": labels.risk_badge(probability),
         }
     )
 
 
+def serving_scores(customers: DataFrame) -> DataFrame:
+    """Probability, yes/no label and level for every customer."""
+    inputs = with_defaults(customers.select(CUSTOMER, *DOCUMENT_FACTORS.values()), SERVING_DEFAULTS)
+    return with_levels(inputs.select(CUSTOMER, risk.serving_risk(DOCUMENT_FACTORS).alias("probability")))
+
+
 def risk_levels(scores: DataFrame) -> DataFrame:
     return scores.groupBy("risk_level", "risk_badge").agg(rows().alias("customer_count")).orderBy("risk_level")
 

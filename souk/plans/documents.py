@@ -148,7 +148,8 @@ def customer_documents(
 
 
 def product_sales(items: DataFrame) -> DataFrame:
-    return items.groupBy("product_id").agg(
+    """Totals combine map-side to one row per product and task; distinct counts, which cannot, are kept apart."""
+    totals = items.groupBy("product_id").agg(
         rows().alias("total_orders"),
         total("price").alias("total_revenue"),
         mean("price").alias("avg_price"),
@@ -156,13 +157,20 @@ def product_sales(items: DataFrame) -> DataFrame:
         F.max("price").cast("double").alias("max_price"),
         total("freight_value").alias("total_freight"),
         mean("freight_value").alias("avg_freight"),
-        F.count_distinct("order_id").alias("unique_orders"),
-        F.count_distinct("seller_id").alias("seller_count"),
     )
+    varieties = items.groupBy("product_id").agg(
+        F.count_distinct("order_id").alias("unique_orders"), F.count_distinct("seller_id").alias("seller_count")
+    )
+    return totals.join(varieties, "product_id", "left")
 
 
 def product_reviews(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Average order score per product. An order with several items of a product counts once per item."""
+    """Average order score per product. An order with several items of a product counts once per item.
+
+    ``orders`` should be the written silver table: then the join shuffles both of its sides itself, and AQE can split
+    an order that holds a large part of the items. The aggregate after it combines map-side, so a hot product is
+    one row per task.
+    """
     scores = reports.reviewed(orders).select("order_id", "review_score")
     return (
         items.select("order_id", "product_id")
@@ -183,7 +191,15 @@ def product_documents(orders: DataFrame, tables: Tables) -> DataFrame:
         F.col("product_category_name").alias("category_pt"),
         F.col("product_category_name_english").alias("category_en"),
         *(c for c in tables.products.columns if c not in ("product_id", "product_category_name")),
-        *(c for c in product_sales(tables.order_items).columns if c != "product_id"),
+        "total_orders",
+        "total_revenue",
+        "avg_price",
+        "min_price",
+        "max_price",
+        "total_freight",
+        "avg_freight",
+        "unique_orders",
+        "seller_count",
         "avg_review_score",
         "review_count",
     )
@@ -191,19 +207,22 @@ def product_documents(orders: DataFrame, tables: Tables) -> DataFrame:
 
 
 def seller_sales(items: DataFrame) -> DataFrame:
-    return items.groupBy("seller_id").agg(
+    totals = items.groupBy("seller_id").agg(
         rows().alias("total_items_sold"),
-        F.count_distinct("order_id").alias("total_orders"),
         total("price").alias("total_revenue"),
         mean("price").alias("avg_price"),
         total("freight_value").alias("total_freight"),
         mean("freight_value").alias("avg_freight"),
-        F.count_distinct("product_id").alias("unique_products"),
     )
+    varieties = items.groupBy("seller_id").agg(
+        F.count_distinct("order_id").alias("total_orders"), F.count_distinct("product_id").alias("unique_products")
+    )
+    return totals.join(varieties, "seller_id", "left")
 
 
 def seller_metrics(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Reviews, delivery, customers and sale dates per seller, weighted by item."""
+    """Reviews, delivery, customers and sale dates per seller, weighted by item. As for ``product_reviews``,
+    ``orders`` should be the written silver table."""
     at = "order_purchase_timestamp"
     facts = orders.filter(F.col("seller_state").isNotNull()).select(
         "order_id", CUSTOMER, "review_score", "delivery_days", at
@@ -233,6 +252,23 @@ def seller_documents(orders: DataFrame, tables: Tables) -> DataFrame:
 
 # Summaries
 
+# What the order summaries read, for callers that write or persist it first.
+SUMMARY_COLUMNS = (
+    CUSTOMER,
+    "customer_state",
+    "purchase_year_month",
+    "purchase_dayofweek",
+    "purchase_hour",
+    "main_category_english",
+    "payment_type",
+    "max_installments",
+    "total_items",
+    "total_payment_value",
+    "review_score",
+    "delivery_days",
+    "order_purchase_timestamp",
+)
+
 
 def gold_monthly(orders: DataFrame) -> DataFrame:
     value = reports.payment_mean("avg_order_value")

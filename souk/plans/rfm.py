@@ -37,19 +37,21 @@ def last_purchase(orders: DataFrame) -> Column:
     return orders.agg(F.max("order_purchase_timestamp")).scalar()
 
 
-def rfm_customers(orders: DataFrame) -> DataFrame:
+def rfm_customers(orders: DataFrame, reviewed_only: bool = False) -> DataFrame:
     """One row per customer with a delivered order.
 
     ``orders`` has one row per order (silver), so counting rows counts orders. State and city are those of the
-    latest order. Orders without a review enter the average with score 0.
+    latest order. Orders without a review enter the average with score 0 unless ``reviewed_only``.
     """
+    score = F.col("review_score")
+    scored = F.when(score > 0, score) if reviewed_only else score
     delivered = orders.filter(F.col("order_status") == "delivered")
     at = "order_purchase_timestamp"
     latest = F.max(F.struct(at, "order_id", "customer_state", "customer_city"))
     per_customer = delivered.groupBy(CUSTOMER).agg(
         F.count("order_id").alias("frequency"),
         F.sum("total_payment_value").alias("monetary"),
-        mean_of_ratios("review_score").alias("avg_review_score"),
+        mean_of_ratios(scored).alias("avg_review_score"),
         mean("delivery_days").alias("avg_delivery_days"),
         mean("total_items").alias("avg_items_per_order"),
         latest.getField("customer_state").alias("customer_state"),

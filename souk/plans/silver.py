@@ -1,10 +1,16 @@
 """From eight tables to one clean, wide row per order.
 
-Each 1-to-n child (items, payments, reviews) is aggregated to one row per order before it is joined. The children and
-the deduplicated orders then share the partitioning on ``order_id``, so the joins add no shuffle and cannot fan out;
-and since an aggregate is unique on its grouping key, Catalyst drops a child's join from any query that uses none of
-its columns. Sums, extremes and smallest-row picks all combine map-side, so an order or customer that holds a large
-part of the rows reaches the shuffle as one partial row per task.
+Everything an order gets (customer, items, payments, reviews) is first aggregated to one row per order, then joined.
+
+* The aggregates and the deduplicated orders share the partitioning on ``order_id``, so these joins add no shuffle and
+  cannot fan out.
+* An aggregate is unique on its grouping key, so Catalyst drops the join to any of them from a query that uses none of
+  its columns.
+* Sums, extremes and smallest-row picks combine map-side: an order that holds a third of the items reaches the shuffle
+  as one row per task.
+* Lookups in customers, products and sellers come before these aggregates, with a shuffle of their own on either side
+  (if the dimension is not small enough to broadcast) and another after them. That is the form in which AQE splits a hot
+  key, so a product in a third of the items does not end up in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from souk.operators.ordering import asc
 from souk.operators.rows import first_per_key, one_row_per_key
 from souk.sources.tables import Tables
 
+PURCHASE_ORDER = ("order_purchase_timestamp", "customer_id", "order_status")
 PRODUCT_AVERAGES = ("weight_g", "length_cm", "height_cm", "width_cm", "photos_qty")
 
 # What a missing value becomes in the clean table.
@@ -89,35 +96,37 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
 def translated_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category name. Spark broadcasts the translation if it is small and shuffles it
     otherwise."""
-    return products.join(one_row_per_key(translation, "product_category_name"), "product_category_name", "left")
+    return products.join(translation, "product_category_name", "left")
 
 
-def product_rows(tables: Tables) -> DataFrame:
-    return one_row_per_key(translated_products(tables.products, tables.category_translation), "product_id")
-
-
-def seller_rows(tables: Tables) -> DataFrame:
-    sellers = tables.sellers.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix")
-    return one_row_per_key(sellers, "seller_id")
+def seller_places(sellers: DataFrame) -> DataFrame:
+    return sellers.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix")
 
 
 def items_enriched(tables: Tables) -> DataFrame:
-    """Items with the columns of their product and seller. A hot product or seller is a skewed key on the item
-    side only, which AQE splits: the next shuffle is on another key."""
-    return tables.order_items.join(product_rows(tables), "product_id", "left").join(
-        seller_rows(tables), "seller_id", "left"
+    """Items with the columns of their product and seller."""
+    products = translated_products(tables.products, tables.category_translation)
+    return tables.order_items.join(products, "product_id", "left").join(
+        seller_places(tables.sellers), "seller_id", "left"
     )
 
 
-def item_totals(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
+def item_totals(order_items: DataFrame) -> DataFrame:
+    return order_items.groupBy("order_id").agg(
         rows().alias("total_items"),
         F.sum("price").alias("total_price"),
         F.sum("freight_value").alias("total_freight_value"),
-        *(mean(f"product_{p}").alias(f"avg_product_{p}") for p in PRODUCT_AVERAGES),
     )
 
 
+def item_averages(tables: Tables) -> DataFrame:
+    """Mean weight, size and number of photos of an order's products."""
+    names = [f"product_{p}" for p in PRODUCT_AVERAGES]
+    items = tables.order_items.select("order_id", "product_id")
+    joined = items.join(tables.products.select("product_id", *names), "product_id", "left")
+    return joined.groupBy("order_id").agg(*(mean(n).alias(f"avg_{n}") for n in names))
+
+
 def item_varieties(order_items: DataFrame) -> DataFrame:
     """Distinct counts are kept apart from the totals: Spark expands the rows once per distinct column, and here
     only the three ids are expanded."""
@@ -127,60 +136,71 @@ def item_varieties(order_items: DataFrame) -> DataFrame:
     )
 
 
-def first_items(tables: Tables) -> DataFrame:
-    """Category and seller of each order's first item: the ids are picked first, then looked up once per order."""
+def first_items(order_items: DataFrame) -> DataFrame:
+    """Product and seller of each order's first item."""
     first = F.min(F.struct("order_item_id", "product_id", "seller_id")).alias("first")
-    picked = tables.order_items.groupBy("order_id").agg(first).select("order_id", "first.product_id", "first.seller_id")
-    found = picked.join(product_rows(tables), "product_id", "left").join(seller_rows(tables), "seller_id", "left")
-    return found.select(
+    return order_items.groupBy("order_id").agg(first).select("order_id", "first.product_id", "first.seller_id")
+
+
+def first_categories(tables: Tables) -> DataFrame:
+    products = translated_products(
+        tables.products.select("product_id", "product_category_name"), tables.category_translation
+    )
+    found = first_items(tables.order_items).join(products, "product_id", "left")
+    return one_row_per_key(
+        found.select(
+            "order_id",
+            F.col("product_category_name_english").alias("main_category_english"),
+            F.col("product_category_name").alias("main_category"),
+        ),
         "order_id",
-        F.col("product_category_name_english").alias("main_category_english"),
-        F.col("product_category_name").alias("main_category"),
-        "seller_city",
-        "seller_state",
     )
 
 
+def first_sellers(tables: Tables) -> DataFrame:
+    found = first_items(tables.order_items).join(seller_places(tables.sellers), "seller_id", "left")
+    return one_row_per_key(found.select("order_id", "seller_city", "seller_state"), "order_id")
+
+
 def items_per_order(tables: Tables) -> DataFrame:
-    """Totals of an order's items; category and seller are those of its first item.
-
-    Three narrow aggregates on the same key instead of one wide one: a query that uses none of the columns of one
-    of them does not run it.
-    """
-    joined = (
-        item_totals(tables.order_items.join(product_rows(tables), "product_id", "left"))
-        .join(item_varieties(tables.order_items), "order_id", "left")
-        .join(first_items(tables), "order_id", "left")
-    )
-    return joined.select(
-        "order_id",
-        "total_items",
-        "total_price",
-        "total_freight_value",
-        "unique_products",
-        "unique_sellers",
-        "main_category_english",
-        "main_category",
-        "seller_city",
-        "seller_state",
-        *(f"avg_product_{p}" for p in PRODUCT_AVERAGES),
+    """Totals, variety and product averages of an order's items; category and seller are those of its first item."""
+    parts = (
+        item_varieties(tables.order_items),
+        first_categories(tables),
+        first_sellers(tables),
+        item_averages(tables),
     )
+    joined = item_totals(tables.order_items)
+    for part in parts:
+        joined = joined.join(part, "order_id", "left")
+    return joined
 
 
 def dedup_orders(orders: DataFrame) -> DataFrame:
     """One row per order id: the earliest purchase."""
-    order = [asc(c) for c in ("order_purchase_timestamp", "customer_id", "order_status")]
-    return first_per_key(orders, ["order_id"], order)
+    return first_per_key(orders, ["order_id"], [asc(c) for c in PURCHASE_ORDER])
+
+
+def customers_per_order(tables: Tables) -> DataFrame:
+    """Customer columns of each order, of the same row that ``dedup_orders`` keeps."""
+    joined = tables.orders.select("order_id", *PURCHASE_ORDER).join(tables.customers, "customer_id", "left")
+    columns = [c for c in tables.customers.columns if c != "customer_id"]
+    kept = F.min(F.struct(*PURCHASE_ORDER, *columns)).alias("kept")
+    return joined.groupBy("order_id").agg(kept).select("order_id", *(f"kept.{c}" for c in columns))
 
 
 def merged_orders(tables: Tables) -> DataFrame:
     """One row per order with customer, items, payments and reviews; 36 columns."""
-    return (
-        dedup_orders(tables.orders.join(one_row_per_key(tables.customers, "customer_id"), "customer_id", "left"))
-        .join(items_per_order(tables), "order_id", "left")
-        .join(payments_per_order(tables.payments), "order_id", "left")
-        .join(reviews_per_order(tables.reviews), "order_id", "left")
+    parts = (
+        customers_per_order(tables),
+        items_per_order(tables),
+        payments_per_order(tables.payments),
+        reviews_per_order(tables.reviews),
     )
+    merged = dedup_orders(tables.orders)
+    for part in parts:
+        merged = merged.join(part, "order_id", "left")
+    return merged
 
 
 def is_valid_order(status: Column, price: Column) -> Column:

@@ -13,6 +13,7 @@ class TableContract:
     ddl: str
     required: tuple[str, ...]
     key: tuple[str, ...] = ()
+    free_text: bool = False
 
     @property
     def schema(self) -> StructType:
@@ -53,6 +54,7 @@ CONTRACTS = {
             "review_comment_message string, review_creation_date timestamp, review_answer_timestamp timestamp",
             ("order_id", "review_score"),
             ("review_id",),
+            free_text=True,
         ),
         TableContract(
             "customers",

@@ -15,15 +15,15 @@ from souk.sources.contracts import CONTRACTS, FOLDERS, TableContract
 SOURCE_FILE, INGESTED_AT = "_source_file", "_ingested_at"
 
 
-def read_text_columns(spark: SparkSession, path: str) -> DataFrame:
+def read_text_columns(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
     """Every column of the CSV as text, named by its header.
 
-    ``multiLine`` keeps a quoted newline inside its row, at the price of one task per file; hence raw files are
-    landed as Parquet once (``land``) and every later read is splittable.
+    Free text may hold newlines, which ``multiLine`` keeps inside their row at the price of one task per file. Only
+    tables with free text pay it, and only once: they are landed as Parquet (``land``), which later reads split.
     """
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", free_text)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .csv(path)
@@ -56,7 +56,8 @@ def apply_contract(raw: DataFrame, contract: TableContract) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    return apply_contract(read_text_columns(spark, path), CONTRACTS[name])
+    contract = CONTRACTS[name]
+    return apply_contract(read_text_columns(spark, path, contract.free_text), contract)
 
 
 def table_paths(root: str) -> dict[str, str]:
@@ -80,7 +81,7 @@ def land(spark: SparkSession, name: str, path: str, bronze_root: str) -> str:
     """
     target = table_paths(bronze_root)[name]
     (
-        read_text_columns(spark, path)
+        read_text_columns(spark, path, CONTRACTS[name].free_text)
         .withColumn(SOURCE_FILE, F.input_file_name())
         .withColumn(INGESTED_AT, F.current_timestamp())
         .write.mode("overwrite")

@@ -20,6 +20,23 @@ OTHER_SCORE = 5
 UNTRANSLATED_CATEGORY = "MEDIUM"
 DELIVERY_CYCLE_DAYS, PROMISED_DAYS = 45, 25
 
+# The columns used, so that opening a table starts no schema-inference job.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
+def read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
+
 
 def _mapped(column: str, names: dict, otherwise) -> F.Column:
     chain = F
@@ -71,15 +88,13 @@ def _orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def from_star(spark: SparkSession, root: str) -> Tables:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}.parquet")
-
-    lines = order_lines(table("lineitem"))
-    nation = table("nation").select("n_nationkey", F.col("n_name").alias("state"))
+    lines = order_lines(read(spark, root, "lineitem"))
+    nation = read(spark, root, "nation").select("n_nationkey", F.col("n_name").alias("state"))
+    parts = read(spark, root, "part")
     size = F.col("p_size")
     category = F.col("p_type")
     return Tables(
-        orders=_orders(table("orders"), lines),
+        orders=_orders(read(spark, root, "orders"), lines),
         order_items=lines.select(
             "order_id",
             F.col("line").alias("order_item_id"),
@@ -105,7 +120,7 @@ def from_star(spark: SparkSession, root: str) -> Tables:
             F.col("shipped_at").alias("review_creation_date"),
             F.col("shipped_at").alias("review_answer_timestamp"),
         ),
-        customers=table("customer")
+        customers=read(spark, root, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
@@ -114,7 +129,7 @@ def from_star(spark: SparkSession, root: str) -> Tables:
             F.col("c_mktsegment").alias("customer_city"),
             F.col("state").alias("customer_state"),
         ),
-        products=table("part").select(
+        products=parts.select(
             F.col("p_partkey").alias("product_id"),
             category.alias("product_category_name"),
             F.length("p_name").alias("product_name_lenght"),
@@ -125,7 +140,7 @@ def from_star(spark: SparkSession, root: str) -> Tables:
             (size % 20 + 1).alias("product_height_cm"),
             (size % 30 + 1).alias("product_width_cm"),
         ),
-        sellers=table("supplier")
+        sellers=read(spark, root, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .select(
             F.col("s_suppkey").alias("seller_id"),
@@ -133,8 +148,7 @@ def from_star(spark: SparkSession, root: str) -> Tables:
             F.col("s_name").alias("seller_city"),
             F.col("state").alias("seller_state"),
         ),
-        category_translation=table("part")
-        .filter(category != UNTRANSLATED_CATEGORY)
+        category_translation=parts.filter(category != UNTRANSLATED_CATEGORY)
         .select(category.alias("product_category_name"), F.lower(category).alias("product_category_name_english"))
         .distinct(),
     )
@@ -142,8 +156,7 @@ def from_star(spark: SparkSession, root: str) -> Tables:
 
 def purchases_from_events(spark: SparkSession, root: str) -> DataFrame:
     """The event stream as purchases, for the reports by hour and weekday (order dates are all midnight)."""
-    events = spark.read.parquet(f"{root}/events.parquet")
-    return events.select(
+    return read(spark, root, "events").select(
         F.col("event_id").alias("order_id"),
         F.col("user_id").alias("customer_unique_id"),
         F.col("ts").alias("order_purchase_timestamp"),

@@ -90,3 +90,13 @@ def test_saved_model_predicts_the_same(spark, shop, tmp_path):
     again = churn.Churn(results.load_model(path), shop.boosted.features)
     wrong = again.scored(shop.labelled).exceptAll(shop.boosted.scored(shop.labelled))
     assert wrong.count() == 0
+
+
+def test_serving_with_and_without_a_model(shop):
+    customers = shop.customers
+    from_model, from_formula = churn.served(customers, shop.boosted), churn.served(customers)
+    assert from_model.columns == from_formula.columns
+    for scored in (from_model, from_formula):
+        assert scored.count() == customers.count()
+        assert scored.filter(~F.col("probability").between(0, 1)).count() == 0
+        assert scored.filter(F.col("at_risk") != F.col("risk_level").isin("high", "very high")).count() == 0

@@ -1,14 +1,18 @@
 """Plan shapes that matter at scale."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
 from souk import catalog
-from souk.operators.staging import shared_folder
-from souk.plans import dashboard, documents, reports, silver
+from souk.operators.staging import shared_folder, stage
+from souk.plans import dashboard, documents, reports, rfm, silver
+from souk.sources import star
+
+LARGER = "/root/testdata/sf0.01"
 
 
 def plan(df):
@@ -78,6 +82,49 @@ def test_hot_keys_give_whole_results(spark, shop):
     assert silver.item_varieties(hot).filter("order_id = 1").first()["unique_products"] == expected
 
 
+@pytest.fixture
+def large_data_settings(spark):
+    """Thresholds lowered so that the test data counts as large: no broadcasts, small skewed partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def splits_a_hot_key(df):
+    df.collect()
+    return "skew=true" in plan(df)
+
+
+def test_aqe_splits_hot_products_orders_and_customers(spark, large_data_settings):
+    tables = star.from_star(spark, LARGER)
+    a_third = F.col("price") < 35000
+    items = tables.order_items.repartition(16)
+    hot_product = items.withColumn("product_id", F.when(a_third, 3).otherwise(F.col("product_id")).cast("long"))
+    assert splits_a_hot_key(silver.item_averages(replace(tables, order_items=hot_product)))
+
+    orders = silver.silver_orders(tables)
+    written = stage(orders)
+    hot_order = items.withColumn("order_id", F.when(a_third, 3).otherwise(F.col("order_id")).cast("long"))
+    assert splits_a_hot_key(documents.product_reviews(written, hot_order))
+
+    scored = stage(rfm.rfm_scores(written))
+    hot_customer = written.repartition(16).withColumn(
+        "customer_unique_id", F.when(F.col("order_id") % 3 == 0, 5).otherwise(F.col("customer_unique_id")).cast("long")
+    )
+    joined = rfm.orders_with_rfm(hot_customer, scored)
+    assert splits_a_hot_key(joined.agg(F.max(F.struct("order_id", "review_comment_message", "monetary"))))
+
+
 class FakeSession:
     """Just the settings the staging folder is chosen by."""
 

@@ -288,3 +288,17 @@ def test_shares_and_counts_agree(shop):
         found = report(shop.orders).agg(F.sum("order_count"), F.sum("percentage")).first()
         assert found[0] == total
         assert found[1] == pytest.approx(100, abs=0.5)
+
+
+def test_reviewed_only_leaves_out_orders_without_review(orders):
+    every = by_id(rfm.rfm_customers(orders), "customer_unique_id")["uc1"]["avg_review_score"]
+    reviewed = by_id(rfm.rfm_customers(orders, reviewed_only=True), "customer_unique_id")["uc1"]["avg_review_score"]
+    assert reviewed == 4.0
+    assert every < reviewed
+
+
+def test_lookup_of_many_keys(spark):
+    from souk.operators.rows import lookup_many
+
+    df, keys = spark.range(10), spark.createDataFrame([(3,), (3,), (99,)], "id long")
+    assert [r["id"] for r in lookup_many(df, keys, "id").collect()] == [3]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -83,13 +84,15 @@ def write_records(spark: SparkSession, records: list[Mapping], schema: str, path
 
 
 def write_reports(reports: Mapping[str, DataFrame], root: str) -> None:
-    """One JSON folder per report, and all of them together in ``all_reports``, one row per report row."""
-    for name, report in reports.items():
-        write_documents(report, f"{root}/{name}")
-    combined = None
+    """One JSON folder per report, and all of them together in ``all_reports``, one row per report row.
+
+    The combined file is made from the written reports, so each report is computed once.
+    """
+    written = []
     for name, report in reports.items():
-        body = portable(report)
-        rows = body.select(F.lit(name).alias("report"), F.to_json(F.struct(*body.columns)).alias("row"))
-        combined = rows if combined is None else combined.unionByName(rows)
-    if combined is not None:
-        combined.write.mode("overwrite").json(f"{root}/all_reports")
+        path = f"{root}/{name}"
+        write_documents(report, path)
+        lines = report.sparkSession.read.text(path)
+        written.append(lines.select(F.lit(name).alias("report"), F.col("value").alias("row")))
+    if written:
+        reduce(DataFrame.unionByName, written).write.mode("overwrite").json(f"{root}/all_reports")

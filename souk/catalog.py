@@ -87,6 +87,11 @@ class Shop:
 
     @cached_property
     def customers(self) -> DataFrame:
+        """The customer documents as a written table, as the dashboard reads them."""
+        return stage(self.customer_documents)
+
+    @cached_property
+    def customer_documents(self) -> DataFrame:
         """Customer documents whose segment and prediction follow fixed rules, so that SQL can check what is built
         on them: the segment by score, the probability by the composite risk."""
         score = F.col("rfm_score")
@@ -314,7 +319,7 @@ def aggregations_union(s: Shop) -> DataFrame:
 
 def monetary_winsorised(s: Shop) -> DataFrame:
     return distribution.winsorised(s.rfm, "monetary").select(
-        CUSTOMER, F.round("monetary_capped", 4).alias("monetary_capped")
+        CUSTOMER, F.round("monetary_capped", 6).alias("monetary_capped")
     )
 
 
@@ -404,7 +409,7 @@ QUERIES: dict[str, Query] = {
     "repeat_customer_rate": lambda s: reports.repeat_customer_rate(s.rfm),
     # documents and summaries
     "order_documents": order_documents,
-    "customer_documents": lambda s: s.customers,
+    "customer_documents": lambda s: s.customer_documents,
     "product_reviews": lambda s: documents.product_reviews(s.written, s.tables.order_items),
     "product_stats": lambda s: s.products,
     "seller_metrics": lambda s: documents.seller_metrics(s.written, s.tables.order_items),

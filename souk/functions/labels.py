@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ RISK_BADGES = ((0.7, "high"), (0.4, "medium"))
 CHURN_AFTER_DAYS = 90
 
 
-def first_match(cases: Sequence[tuple[Column, str]], otherwise: str) -> Column:
+def first_match(cases: Sequence[tuple[Column, Any]], otherwise: Any) -> Column:
+    """The value of the first condition that holds."""
     label = F.lit(otherwise)
     for condition, name in reversed(cases):
         label = F.when(condition, F.lit(name)).otherwise(label)

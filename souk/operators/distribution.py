@@ -53,8 +53,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.count(value).alias("row_count"),
                 F.round(F.avg(value), 4).alias("mean"),
                 F.round(F.stddev_samp(value), 4).alias("stddev"),
-                F.round(F.min(value), 4).alias("smallest"),
-                F.round(F.max(value), 4).alias("largest"),
+                F.round(F.min(value), 6).alias("smallest"),
+                F.round(F.max(value), 6).alias("largest"),
             )
         )
     return df.agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))

@@ -151,7 +151,8 @@ def rows_removed(raw: DataFrame, deduplicated: DataFrame, cleaned: DataFrame) ->
         return df.agg(rows().alias("row_count")).select(F.lit(name).alias("step"), "row_count")
 
     steps = _union([step("raw", raw), step("deduplicated", deduplicated), step("cleaned", cleaned)])
-    counts = [F.max(F.when(F.col("step") == s, F.col("row_count"))).alias(s) for s in ("raw", "deduplicated", "cleaned")]
+    names = ("raw", "deduplicated", "cleaned")
+    counts = [F.max(F.when(F.col("step") == s, F.col("row_count"))).alias(s) for s in names]
     return steps.agg(*counts).select(
         F.col("raw").alias("raw_rows"),
         (F.col("raw") - F.col("deduplicated")).alias("removed_as_duplicates"),

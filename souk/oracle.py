@@ -4,6 +4,13 @@ from __future__ import annotations
 
 import re
 
+# Means of DOUBLE columns whose sum is exact, whatever the order of adding.
+MEANS = {
+    "$mean_order_review": "cast(sum(cast(s.review_score as decimal(20,10))) as double) / count(s.review_score)",
+    "$mean_review": "cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score)",
+    "$mean_freight_ratio": "cast(sum(cast(freight_ratio as decimal(20,10))) as double) / count(freight_ratio)",
+}
+
 # Shared relations, each usable by those below it. They restate the stand-in mapping and the silver rules in SQL.
 RELATIONS = {
     "line": """
@@ -145,7 +152,7 @@ RELATIONS = {
                date_diff('day', max(order_purchase_timestamp), (select max(order_purchase_timestamp) from silver
                    where order_status = 'delivered')) recency,
                count(distinct order_id) frequency, sum(total_payment_value) monetary,
-               cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score,
+               $mean_review avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days,
                cast(sum(total_items) as double) / count(total_items) avg_items_per_order,
                any_value(customer_state) customer_state, any_value(customer_city) customer_city,
@@ -188,7 +195,7 @@ RELATIONS = {
                count(distinct order_id) unique_orders, count(distinct seller_id) seller_count
         from line group by product_id""",
     "product_scores": """
-        select line.product_id, cast(sum(cast(s.review_score as decimal(20,10))) as double) / count(s.review_score) avg_review_score, count(s.review_score) review_count
+        select line.product_id, $mean_order_review avg_review_score, count(s.review_score) review_count
         from silver s join line on s.order_id = line.order_id where s.review_score > 0 group by line.product_id""",
     "product_docs": """
         select p.product_id, p.product_category_name category_pt,
@@ -209,7 +216,7 @@ RELATIONS = {
                count(distinct product_id) unique_products
         from line group by seller_id""",
     "seller_facts": """
-        select line.seller_id, cast(sum(cast(s.review_score as decimal(20,10))) as double) / count(s.review_score) avg_review_score,
+        select line.seller_id, $mean_order_review avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days,
                count(distinct customer_unique_id) unique_customers, min(order_purchase_timestamp) first_sale_date,
                max(order_purchase_timestamp) last_sale_date
@@ -218,7 +225,7 @@ RELATIONS = {
     "months": """
         select purchase_year_month, count(*) order_count, cast(round(sum(total_payment_value), 2) as double) revenue,
                cast(sum(total_payment_value) as double) / count(*) avg_order_value,
-               count(distinct customer_unique_id) unique_customers, cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score,
+               count(distinct customer_unique_id) unique_customers, $mean_review avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days
         from silver group by purchase_year_month""",
     "states": """
@@ -226,14 +233,14 @@ RELATIONS = {
                cast(round(sum(total_payment_value), 2) as double) total_revenue,
                cast(sum(total_payment_value) as double) / count(*) mean_payment,
                cast(sum(order_value) as double) / count(*) mean_value,
-               count(distinct customer_unique_id) unique_customers, cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score,
+               count(distinct customer_unique_id) unique_customers, $mean_review avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days
         from silver group by customer_state""",
     "cats": """
         select main_category_english, count(*) order_count,
                cast(round(sum(total_payment_value), 2) as double) total_revenue,
                cast(sum(total_payment_value) as double) / count(*) avg_order_value,
-               cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score,
+               $mean_review avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days,
                cast(sum(total_items) as bigint) total_items_sold, count(distinct customer_unique_id) unique_customers
         from silver where main_category_english <> 'unknown' group by main_category_english""",
@@ -245,7 +252,7 @@ RELATIONS = {
         select payment_type, count(*) order_count, cast(round(sum(total_payment_value), 2) as double) total_revenue,
                cast(sum(total_payment_value) as double) / count(*) avg_payment_value,
                cast(sum(max_installments) as double) / count(*) avg_installments,
-               cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score
+               $mean_review avg_review_score
         from silver group by payment_type""",
     "cells": """
         select purchase_dayofweek, purchase_hour, count(*) order_count,
@@ -415,12 +422,14 @@ def union_by_name(parts) -> str:
     return " union all by name ".join(parts)
 
 
+ALL_NULLS = union(_nulls(t, c) for t, columns in REQUIRED.items() for c in columns)
+
 QUERIES = {
     "scan_orders": "select order_id, customer_id, order_status from raw_orders",
     "dq_table_profile": union(
         f"select '{t}' table_name, count(*) row_count, {n} column_count from {r}" for t, (r, n) in TABLES.items()
     ),
-    "dq_null_counts": union(_nulls(t, c) for t, columns in REQUIRED.items() for c in columns),
+    "dq_null_counts": ALL_NULLS,
     "dq_null_profile": union(
         f"""select '{c}' column_name, count(*) filter ({c} is null) null_count,
             round(cast(count(*) filter ({c} is null) as double) / count(*) * 100, 2) null_pct from merged"""
@@ -433,11 +442,10 @@ QUERIES = {
         for f, (wrong, absent) in CONTRACT_FIELDS.items()
     ),
     "dq_manifest_summary": f"""
-        select count(*) total_files, count(*) filter (valid) valid_files, cast(sum(row_count) as bigint) total_rows,
-               (select cast(sum(null_count) as bigint) from ({union(_nulls(t, c) for t, cs in REQUIRED.items() for c in cs)})) total_nulls,
-               round(cast((select sum(null_count) from ({union(_nulls(t, c) for t, cs in REQUIRED.items() for c in cs)})) as double)
-                     / sum(row_count) * 100, 2) null_pct
-        from ({union(_verdict(t) for t in TABLES)})""",
+        select *, round(cast(total_nulls as double) / total_rows * 100, 2) null_pct from (
+            select count(*) total_files, count(*) filter (valid) valid_files, cast(sum(row_count) as bigint) total_rows,
+                   (select cast(sum(null_count) as bigint) from ({ALL_NULLS})) total_nulls
+            from ({union(_verdict(t) for t in TABLES)}))""",
     "dq_rows_removed": """
         select (select count(*) + count(*) filter (order_status = 'shipped') from raw_orders) raw_rows,
                (select count(*) filter (order_status = 'shipped') from raw_orders) removed_as_duplicates,
@@ -446,8 +454,8 @@ QUERIES = {
                (select count(*) from cleaned) remaining_rows""",
     "describe_order_metrics": union(
         f"""select '{m}' measure, count({m}) row_count, round(avg(cast({m} as double)), 4) mean,
-            round(stddev_samp(cast({m} as double)), 4) stddev, round(min(cast({m} as double)), 4) smallest,
-            round(max(cast({m} as double)), 4) largest from silver"""
+            round(stddev_samp(cast({m} as double)), 4) stddev, round(min(cast({m} as double)), 6) smallest,
+            round(max(cast({m} as double)), 6) largest from silver"""
         for m in METRICS
     ),
     "churn_label_share": f"""
@@ -505,7 +513,7 @@ QUERIES = {
         select order_status, order_count, total_revenue, avg_review_score, {SHARE.format(n='order_count')} from (
             select order_status, count(*) order_count,
                    cast(round(sum(total_payment_value), 2) as double) total_revenue,
-                   cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score from silver group by order_status)""",
+                   $mean_review avg_review_score from silver group by order_status)""",
     "monthly_revenue": """
         select purchase_year_month, order_count, revenue monthly_revenue, unique_customers, avg_review_score,
                avg_delivery_days from months""",
@@ -523,11 +531,11 @@ QUERIES = {
         from (select cast(floor(review_score) as int) review_score, count(*) review_count,
                      cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days,
                      cast(sum(order_value) as double) / count(*) avg_order_value,
-                     cast(sum(cast(freight_ratio as decimal(20,10))) as double) / count(freight_ratio) avg_freight_ratio
+                     $mean_freight_ratio avg_freight_ratio
               from silver where review_score > 0 group by 1)""",
     "review_average": "select round(avg(review_score), 2) avg_score from silver where review_score > 0",
     "review_by_delivery_status": """
-        select delivery_status, count(*) review_count, cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score,
+        select delivery_status, count(*) review_count, $mean_review avg_review_score,
                cast(sum(delivery_days) as double) / nullif(count(delivery_days), 0) avg_delivery_days
         from silver where review_score > 0 group by delivery_status""",
     "category_revenue": "select * from cats",
@@ -553,7 +561,7 @@ QUERIES = {
             select case when delivery_days <= 7 then '0-7 days' when delivery_days <= 14 then '8-14 days'
                         when delivery_days <= 21 then '15-21 days' when delivery_days <= 30 then '22-30 days'
                         else 'over 30 days' end delivery_bucket,
-                   count(*) order_count, cast(sum(cast(review_score as decimal(20,10))) as double) / count(review_score) avg_review_score from arrived group by 1)""",
+                   count(*) order_count, $mean_review avg_review_score from arrived group by 1)""",
     "slowest_states": """
         select customer_state, count(*) order_count, cast(sum(delivery_days) as double) / count(*) avg_delivery_days,
                quantile_cont(cast(delivery_days as double), 0.5) median_delivery_days,
@@ -608,7 +616,8 @@ QUERIES = {
         (
             "select * rename (revenue as total_revenue), 'monthly_revenue' agg_type from months",
             "select *, 'category_stats' agg_type from cats",
-            "select * exclude (mean_value) rename (mean_payment as avg_order_value), 'state_stats' agg_type from states",
+            """select * exclude (mean_value) rename (mean_payment as avg_order_value), 'state_stats' agg_type
+               from states""",
             """select purchase_dayofweek, purchase_hour, count(*) order_count,
                       cast(round(sum(total_payment_value), 2) as double) total_revenue, 'hourly_orders' agg_type
                from silver group by purchase_dayofweek, purchase_hour""",
@@ -753,7 +762,7 @@ QUERIES = {
     "monetary_winsorised": """
         select customer_unique_id,
                round(least(cast(monetary as double),
-                           (select quantile_cont(cast(monetary as double), 0.95) from rfm)), 4) monetary_capped
+                           (select quantile_cont(cast(monetary as double), 0.95) from rfm)), 6) monetary_capped
         from rfm""",
     "kmeans_input": """
         select customer_unique_id, cast(recency as double) recency, cast(frequency as double) frequency,
@@ -777,7 +786,10 @@ def _needed(sql: str) -> list[str]:
 def statement(name: str) -> str:
     sql = QUERIES[name]
     shared = ", ".join(f"{r} as ({RELATIONS[r]})" for r in _needed(sql))
-    return f"with {shared} {sql}" if shared else sql
+    whole = f"with {shared} {sql}" if shared else sql
+    for token, mean in MEANS.items():
+        whole = whole.replace(token, mean)
+    return whole
 
 
 def statements() -> dict[str, str]:

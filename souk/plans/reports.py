@@ -99,9 +99,8 @@ def orders_by_status(orders: DataFrame) -> DataFrame:
 
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     monthly = total("total_payment_value").alias("monthly_revenue")
-    return by(orders, "purchase_year_month", order_count(), monthly, customer_count(), review_mean(), delivery_mean()).orderBy(
-        "purchase_year_month"
-    )
+    measures = (order_count(), monthly, customer_count(), review_mean(), delivery_mean())
+    return by(orders, "purchase_year_month", *measures).orderBy("purchase_year_month")
 
 
 def with_growth(months: DataFrame, value: str = "monthly_revenue", month: str = "purchase_year_month") -> DataFrame:
@@ -118,13 +117,15 @@ def monthly_revenue_growth(orders: DataFrame) -> DataFrame:
 
 def orders_by_state(orders: DataFrame) -> DataFrame:
     value = mean("order_value").alias("avg_order_value")
-    groups = by(orders, "customer_state", order_count(), revenue(), customer_count(), review_mean(), delivery_mean(), value)
+    measures = (order_count(), revenue(), customer_count(), review_mean(), delivery_mean(), value)
+    groups = by(orders, "customer_state", *measures)
     return with_share(groups, "order_count").orderBy(F.desc("order_count"), "customer_state")
 
 
 def payment_methods(orders: DataFrame) -> DataFrame:
     installments = mean("max_installments").alias("avg_installments")
-    groups = by(orders, "payment_type", order_count(), revenue(), payment_mean("avg_payment_value"), installments, review_mean())
+    measures = (order_count(), revenue(), payment_mean("avg_payment_value"), installments, review_mean())
+    groups = by(orders, "payment_type", *measures)
     return with_share(groups, "order_count").orderBy(F.desc("order_count"), "payment_type")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType, TimestampNTZType, TimestampType
 
@@ -54,7 +54,7 @@ def verify(spark: SparkSession, path: str, expected: int | None = None) -> int:
     return found
 
 
-def _portable(value: F.Column, kind: DataType) -> F.Column:
+def _portable(value: Column, kind: DataType) -> Column:
     if isinstance(kind, TimestampType | TimestampNTZType):
         return F.date_format(value, ISO_FORMAT)
     if isinstance(kind, ArrayType):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampType
 
@@ -30,7 +30,7 @@ def read_text_columns(spark: SparkSession, path: str, free_text: bool = True) ->
     )
 
 
-def _typed(column: str, target: DataType) -> F.Column:
+def _typed(column: str, target: DataType) -> Column:
     text = F.col(column)
     if isinstance(target, StringType):
         return text

@@ -6,10 +6,11 @@ rules. They exercise the operators on real volumes; commercially they mean nothi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.functions.dates import days_between
+from souk.functions.labels import first_match
 from souk.sources.tables import Tables
 
 # The mapping of the stand-in.
@@ -38,14 +39,11 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
 
 
-def _mapped(column: str, names: dict, otherwise) -> F.Column:
-    chain = F
-    for key, value in names.items():
-        chain = chain.when(F.col(column) == key, F.lit(value))
-    return chain.otherwise(F.lit(otherwise))
+def _mapped(column: str, names: dict, otherwise) -> Column:
+    return first_match([(F.col(column) == key, value) for key, value in names.items()], otherwise)
 
 
-def _decimal(column: str, precision: int) -> F.Column:
+def _decimal(column: str, precision: int) -> Column:
     return F.col(column).cast(f"decimal({precision},2)")
 
 

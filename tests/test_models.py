@@ -8,7 +8,8 @@ from souk.models import churn, evaluation, results, reviews, segments
 
 def test_segments_are_named_by_spend(shop):
     found = shop.segmentation.segments(shop.segment_rows)
-    spend = {r["segment_name"]: r["m"] for r in found.groupBy("segment_name").agg(F.avg("monetary").alias("m")).collect()}
+    means = found.groupBy("segment_name").agg(F.avg("monetary").alias("m"))
+    spend = {r["segment_name"]: r["m"] for r in means.collect()}
     assert spend["Champions"] == max(spend.values())
     assert spend["Lost"] == min(spend.values())
     assert found.count() == shop.segment_rows.count()
@@ -68,7 +69,8 @@ def test_review_models(shop):
 
 
 def test_model_table(spark, shop):
-    table = {r["name"].rstrip(" *"): r for r in results.model_table(shop.model_records).collect() if not r["is_regression"]}
+    found = results.model_table(shop.model_records).collect()
+    table = {r["name"].rstrip(" *"): r for r in found if not r["is_regression"]}
     assert set(table) == {"GradientBoosting", "RandomForest", "LogisticRegression"}
     row = table["GradientBoosting"]
     cells = {(r["label"], r["prediction"]): r["row_count"] for r in shop.boosted.confusion(shop.labelled).collect()}

@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,15 @@ def test_ntile_equals_window(spark, n, kind):
         assert wrong.count() == 0
 
 
+@given(st.integers(0, 500), st.integers(1, 20))
+def test_bucket_sizes_differ_by_at_most_one(n, buckets):
+    edges = [0, *ntile_starts(n, buckets), n]
+    sizes = [b - a for a, b in zip(edges, edges[1:])]
+    assert sum(sizes) == n
+    assert sizes == sorted(sizes, reverse=True)
+    assert max(sizes) - min(sizes) <= 1
+
+
 def test_ntile_starts():
     assert ntile_starts(10, 4) == [3, 6, 8]
     assert ntile_starts(2, 4) == [1]

@@ -41,7 +41,8 @@ def test_byte_order_mark_and_bad_timestamp(spark, tmp_path):
         tmp_path / "o" / "a.csv",
         "order_id,customer_id,order_status,order_purchase_timestamp\no1,c,x,2018-01-02 03:04:05\no2,c,x,soon\n",
     )
-    found = {r["order_id"]: r["order_purchase_timestamp"] for r in raw_csv.read_table(spark, "orders", folder).collect()}
+    orders = raw_csv.read_table(spark, "orders", folder).collect()
+    found = {r["order_id"]: r["order_purchase_timestamp"] for r in orders}
     assert found["o1"].hour == 3 and found["o2"] is None
 
 
@@ -178,5 +179,6 @@ def test_batch_writes_gold_documents_and_reports(spark, lakehouse_root):
     assert documents.count() == customers
     assert documents.filter("segment_name = 'Unknown'").count() == 0
     assert spark.read.json(lakehouse_root.at("reports", "orders_by_status")).count() == 3
-    kinds = {r[0] for r in spark.read.json(lakehouse_root.documents("aggregations")).select("agg_type").distinct().collect()}
+    summaries = spark.read.json(lakehouse_root.documents("aggregations"))
+    kinds = {r[0] for r in summaries.select("agg_type").distinct().collect()}
     assert "segment_stats" in kinds and "monthly_revenue" in kinds

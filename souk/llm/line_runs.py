@@ -61,7 +61,8 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def stretches(lines: DataFrame, min_words: int) -> DataFrame:
     """The lines in stretches of repeated lines with ``min_words`` words, with the number of their stretch (``seg``)."""
-    repeated = lines.groupBy(*LINE).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Written, so that the join has a shuffle of its own on either side, in which AQE can split a frequent line.
+    repeated = stage(lines.groupBy(*LINE).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     own = lines.join(repeated, LINE)
     by_pos = Window.partitionBy("doc", "version").orderBy("pos")
     # Of rows that repeat a document, one stands for all.
@@ -165,9 +166,10 @@ def repeated_runs(
     )
     order = F.struct(F.col("doc").isNull().alias("n"), "doc", "version", "pos")
     interval = ["need", "head", "tail"]
+    suffixes = stage(suffixes)
     intervals = suffixes.groupBy(*interval).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
     marks = (
-        suffixes.join(intervals.filter("n > 1"), interval)
+        suffixes.join(stage(intervals.filter("n > 1")), interval)
         .filter(order > F.col("first"))
         .withColumn("itself", F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("version") == F.col("first.version")))
         .withColumn("end", F.col("pos") + F.col("need"))
@@ -218,9 +220,10 @@ def drop_repeated_runs(
         key.alias(names["_doc"]),
         version.alias(names["_version"]),
     )
+    # The cuts grow with the corpus: a sort-merge join at every size, never a broadcast.
     cuts = cuts.select(
         F.col("doc").alias("_d"), F.col("version").alias("_v"), F.col("cuts").alias(names["_cuts"])
-    )
+    ).hint("merge")
     matched = prepared.join(cuts, (F.col(names["_version"]) == F.col("_v")) & F.col(names["_doc"]).eqNullSafe(F.col("_d")), "left")
     lines, cut = F.col(names["_lines"]), F.col(names["_cuts"])
     size = F.size(lines)

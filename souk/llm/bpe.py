@@ -1,7 +1,8 @@
 """BPE encoding and decoding with the results of the tokenizers library.
 
-Most texts are encoded word by word with the words' tokens remembered. A long text is cut into parts without regard to
-words, the parts are encoded in parallel, and neighbours are joined as a tree: around each join a window of text is
+Most texts are encoded word by word with the words' tokens remembered. A long text is cut at white space into chunks that are
+encoded in parallel. Where white space is too far apart, the unsplit text is halved until the parts are short, the parts
+are encoded in parallel, and neighbours are joined as a tree: around each join a window of text is
 encoded anew, and it grows until its first token is one the left side has at the same place and some later token is
 one the right side has. A BPE encoding is right as soon as each two neighbouring tokens are the encoding of the
 text they cover together, so the tokens before, inside and behind the window then form the encoding of the whole.
@@ -29,8 +30,8 @@ from souk.llm.frames import batches_by_bytes, keyed, shuffle_width
 
 #: Bytes of text that are encoded at a time.
 BATCH_BYTES = 1 << 20
-#: Texts of more bytes are cut into parts of at most PART_CHARS characters.
-LONG_BYTES = 1 << 15
+#: Texts of more bytes are cut into chunks of at most PART_CHARS characters; unsplit text that is twice as long, into halves.
+LONG_BYTES = 1 << 16
 PART_CHARS = 1 << 13
 #: First width of the window on either side of a join, in bytes.
 WINDOW = 64
@@ -41,6 +42,7 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ]*")
 # The split pattern of the vocabulary file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD = regex.compile(SPLIT)
+BLANK = re.compile(r"[ \n]")
 WORD_END = "</w>"
 
 
@@ -209,18 +211,43 @@ def _encode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
 
 
-PART_SCHEMA = "id long, hash string, section int, special boolean, low int, high int, text string"
+def chunks(text: str, most: int = PART_CHARS) -> list[str]:
+    """Cut before white space, where neither normalising nor splitting looks across, so that no chunk has more than
+    ``most`` characters unless white space is further apart."""
+    found, start = [], 0
+    while len(text) - start > most:
+        at = max(text.rfind(" ", start + 1, start + most), text.rfind("\n", start + 1, start + most))
+        if at < 0:
+            ahead = BLANK.search(text, start + most)
+            if not ahead:
+                break
+            at = ahead.start()
+        found.append(text[start:at])
+        start = at
+    return [*found, text[start:]]
+
+
+#: Kinds of parts: the row itself, a chunk to encode as it is, a special string, and a part of unsplit text.
+ROW, CHUNK, SPECIAL, PIECE = range(4)
+PART_SCHEMA = "id long, hash string, section int, kind int, low int, high int, text string"
 
 
 def _cut(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "hash", "section", "special", "low", "high", "text"]
-    kinds = [pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.string()]
+    names = ["id", "hash", "section", "kind", "low", "high", "text"]
+    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
     for batch in batches_by_bytes(batches, "text", BATCH_BYTES):
         for id_, hash_, text in zip(*(batch.column(c).to_pylist() for c in ("id", "hash", "text")), strict=True):
-            rows = [(id_, hash_, -1, False, 0, 0, "")]  # one row at least, whatever is left of the text
-            for n, (special, section) in enumerate(codec(path).sections(text)):
-                for a, b in [(0, len(section))] if special else halves(0, len(section), PART_CHARS):
-                    rows.append((id_, hash_, n, special, a, b, section[a:b]))
+            rows = [(id_, hash_, -1, ROW, 0, 0, "")]  # one row at least, whatever is left of the text
+            section = 0
+            for chunk in chunks(text):
+                if len(chunk) <= 2 * PART_CHARS:
+                    rows.append((id_, hash_, section, CHUNK, 0, len(chunk), chunk))
+                    section += 1
+                    continue
+                for special, part in codec(path).sections(chunk):
+                    for a, b in [(0, len(part))] if special else halves(0, len(part), PART_CHARS):
+                        rows.append((id_, hash_, section, SPECIAL if special else PIECE, a, b, part[a:b]))
+                    section += 1
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -229,28 +256,35 @@ ENCODED_SCHEMA = f"{PART_SCHEMA}, ids array<int>, starts array<int>, ends array<
 
 
 def _encode_parts(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Encode each part by itself; places count bytes of the part."""
+    """Encode each part by itself; the places of an unsplit text's tokens count bytes of the part."""
     own = codec(path)
-    for batch in batches:
-        found = [
-            Spans([own.tokenizer.token_to_id(text)], [0], [len(text)]) if special else own.spans(text)
-            for special, text in zip(*(batch.column(c).to_pylist() for c in ("special", "text")), strict=True)
-        ]
+    for batch in batches_by_bytes(batches, "text", BATCH_BYTES):
+        kinds, texts = batch.column("kind").to_pylist(), batch.column("text").to_pylist()
+        plain = iter(own.encode([t for k, t in zip(kinds, texts, strict=True) if k == CHUNK]))
+        found = []
+        for kind, text in zip(kinds, texts, strict=True):
+            if kind == CHUNK:
+                found.append(Spans(np.frombuffer(next(plain), np.int32)))
+            elif kind == SPECIAL:
+                found.append(Spans([own.tokenizer.token_to_id(text)]))
+            else:
+                found.append(own.spans(text))
         lists = [pa.array([getattr(s, c) for s in found], pa.list_(pa.int32())) for c in ("ids", "starts", "ends")]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, *lists], [*batch.schema.names, "ids", "starts", "ends"]
-        )
+        yield pa.RecordBatch.from_arrays([*batch.columns, *lists], [*batch.schema.names, "ids", "starts", "ends"])
 
 
 def _join_parts(path: str):
     def run(table: pa.Table) -> pa.Table:
         """All parts of one text to its ids, once for each row that has this id and text."""
         rows = sorted(table.to_pylist(), key=lambda r: (r["section"], r["low"], r["high"]))
-        count = sum(r["section"] < 0 for r in rows)
+        count = sum(r["kind"] == ROW for r in rows)
         own, ids = codec(path), []
         # Equal rows have equal parts, which lie side by side.
         for _, group in groupby(rows[count:][::count], key=lambda r: r["section"]):
             of_section, at, encoded = list(group), 0, []
+            if of_section[0]["kind"] != PIECE:
+                ids += of_section[0]["ids"]
+                continue
             for r in of_section:
                 size = len(r["text"].encode("utf-8", "surrogatepass"))
                 moved = Spans(r["ids"], (at + x for x in r["starts"]), (at + x for x in r["ends"]))

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from souk.functions import labels
 from souk.functions.categories import with_display_name
 from souk.functions.dates import with_calendar
+from souk.functions.measures import mean_of_ratios
 from souk.models import churn as churn_models
 from souk.models import evaluation, results, reviews, segments
 from souk.operators import distribution, quality
 from souk.operators import rows as pick
+from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage
 from souk.plans import churn, dashboard, documents, reports, rfm, silver
 from souk.plans.rfm import CUSTOMER
@@ -28,6 +30,9 @@ STAND_IN_METHOD = "RO"
 SEARCH_TERM = "12"
 CONVERSION_RATE = 5140.0
 LOOKUP_CUSTOMER = 42
+AFTER_CUSTOMER = {"monetary": 1_000_000, CUSTOMER: 0}
+CUSTOMER_SCORES = ("recency", "frequency", "monetary", "rfm_score")
+GIVEN_RESULT = results.result("Churn_Prediction", {"Formula": {"accuracy": 0.75, "auc_roc": 0.5}}, "Formula")
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -58,12 +63,18 @@ class Shop:
 
     @cached_property
     def orders(self) -> DataFrame:
+        """The plan whose unused parts vanish, for reports."""
+        return silver.order_features(silver.clean_orders(silver.merged_orders_by_part(self.tables)))
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        """The plan for all columns."""
         return silver.order_features(silver.clean_orders(self.merged))
 
     @cached_property
     def written(self) -> DataFrame:
         """The silver columns that summaries and item joins read, as a written table."""
-        return stage(self.orders.select("order_id", "seller_state", *documents.SUMMARY_COLUMNS))
+        return stage(self.wide.select("order_id", "seller_state", *documents.SUMMARY_COLUMNS))
 
     @cached_property
     def purchases(self) -> DataFrame:
@@ -125,7 +136,7 @@ class Shop:
 
     @cached_property
     def stratified(self) -> DataFrame:
-        return stage(churn_models.stratified_customers(stage(self.features)))
+        return stage(churn_models.stratified_customers(self.customers))
 
     @cached_property
     def legacy(self) -> DataFrame:
@@ -219,6 +230,10 @@ def dq_contract_orders(s: Shop) -> DataFrame:
     return quality.contract_violations(documents.order_documents(typed), quality.DOCUMENT_RULES["orders"])
 
 
+def _contract(df: DataFrame, kind: str) -> DataFrame:
+    return quality.contract_violations(df, quality.DOCUMENT_RULES[kind])
+
+
 def dq_rows_removed(s: Shop) -> DataFrame:
     twice = s.tables.orders.unionByName(s.tables.orders.filter(F.col("order_status") == "shipped"))
     merged = silver.merged_orders(_with_orders(s, twice))
@@ -238,7 +253,7 @@ def churn_label_share(s: Shop) -> DataFrame:
 
 def order_documents(s: Shop) -> DataFrame:
     """The nested documents, with each nested field named ``part__field``."""
-    nested = documents.order_documents(s.orders)
+    nested = documents.order_documents(s.wide)
     parts = [
         F.col(f"{part}.{field}").alias(f"{part}__{field}")
         for part, fields in documents.ORDER_PARTS.items()
@@ -249,12 +264,16 @@ def order_documents(s: Shop) -> DataFrame:
 
 
 def dedup_orders(s: Shop) -> DataFrame:
-    """Orders with every shipped one repeated a day later; the earlier row of each pair stays."""
+    """Orders with every shipped one repeated a day later and every delivered one without a date; the earlier row of
+    each pair stays, and the dated one."""
     at = F.col("order_purchase_timestamp")
     later = s.tables.orders.filter(F.col("order_status") == "shipped").withColumn(
         "order_purchase_timestamp", F.date_add(at, 1).cast("timestamp_ntz")
     )
-    kept = silver.dedup_orders(s.tables.orders.unionByName(later))
+    undated = s.tables.orders.filter(F.col("order_status") == "delivered").withColumn(
+        "order_purchase_timestamp", F.lit(None).cast("timestamp_ntz")
+    )
+    kept = silver.dedup_orders(s.tables.orders.unionByName(later).unionByName(undated))
     return kept.select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
 
 
@@ -314,7 +333,7 @@ def revenue_converted(s: Shop) -> DataFrame:
 
 def aggregations_union(s: Shop) -> DataFrame:
     """Five summaries of the same orders: the columns they use are written once and read five times."""
-    return documents.aggregations_union(s.written, s.customers)
+    return documents.aggregations_union(s.written, s.customers, results.records(s.spark, [GIVEN_RESULT]))
 
 
 def monetary_winsorised(s: Shop) -> DataFrame:
@@ -330,6 +349,39 @@ def stratified_split(s: Shop) -> DataFrame:
 # Models
 
 
+def formula_predictions(s: Shop) -> DataFrame:
+    """The composite risk as a classifier of customers who did not buy for 90 days: a scorer that SQL can follow."""
+    scored = churn.with_risk(s.features).drop("label")
+    return scored.select(
+        (F.col("recency") > 90).cast("double").alias("label"),
+        (F.col("risk") > 0.5).cast("double").alias("prediction"),
+        F.round("risk", 6).alias("rawPrediction"),
+    )
+
+
+def formula_metrics(s: Shop) -> DataFrame:
+    found = evaluation.classification_scores(formula_predictions(s))
+    return evaluation.metrics_table(s.spark, {"RiskFormula": found})
+
+
+def category_mean_metrics(s: Shop) -> DataFrame:
+    """Errors of predicting an order's review score by the mean of its category."""
+    rows = s.review_rows.select("order_id", reviews.CATEGORY, reviews.LABEL)
+    means = rows.groupBy(reviews.CATEGORY).agg(mean_of_ratios(reviews.LABEL).alias("prediction"))
+    predicted = rows.join(means, reviews.CATEGORY)
+    return evaluation.metrics_table(s.spark, {"CategoryMean": evaluation.regression_scores(predicted, reviews.LABEL)})
+
+
+def confusion_totals(s: Shop) -> DataFrame:
+    """Test rows of each label, summed from the boosted model's confusion matrix."""
+    return s.boosted.confusion(s.labelled).groupBy("label").agg(F.sum("row_count").alias("row_count"))
+
+
+def model_table_given(s: Shop) -> DataFrame:
+    table = results.model_table(results.records(s.spark, [GIVEN_RESULT]))
+    return table.select("name", "is_regression", "accuracy", "auc", "rmse")
+
+
 def churn_scored_v2(s: Shop) -> DataFrame:
     return churn_models.slow_gradient_boosting(s.stratified).scored(s.stratified)
 
@@ -355,9 +407,13 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_verdict": dq_verdict,
     "dq_contract_orders": dq_contract_orders,
+    "dq_contract_customers": lambda s: _contract(s.customers, "customers"),
+    "dq_contract_products": lambda s: _contract(s.products, "products"),
+    "dq_contract_sellers": lambda s: _contract(documents.seller_documents(s.written, s.tables), "sellers"),
     "dq_manifest_summary": lambda s: quality.manifest_summary(quality.manifest(_contracted(s))),
     "dq_rows_removed": dq_rows_removed,
     "describe_order_metrics": lambda s: reports.describe_orders(s.orders),
+    "describe_customer_scores": lambda s: distribution.describe(s.scored, CUSTOMER_SCORES),
     "churn_label_share": churn_label_share,
     # silver
     "payments_per_order": lambda s: silver.payments_per_order(s.tables.payments),
@@ -391,14 +447,15 @@ QUERIES: dict[str, Query] = {
     "review_average": lambda s: reports.review_average(s.orders),
     "review_by_delivery_status": lambda s: reports.review_by_delivery_status(s.orders),
     "category_revenue": lambda s: reports.category_revenue(s.orders),
-    "top_categories": lambda s: reports.top_categories(s.orders, 3),
-    "bottom_categories": lambda s: reports.bottom_categories(s.orders, 3),
+    "top_categories": lambda s: reports.top_categories(s.orders),
+    "bottom_categories": lambda s: reports.bottom_categories(s.orders),
     "category_count": lambda s: reports.category_count(s.orders),
     "category_mean_review": lambda s: reports.category_mean_review(s.orders),
     "payment_methods": lambda s: reports.payment_methods(s.orders),
     "installment_histogram": lambda s: reports.installment_histogram(s.orders, STAND_IN_METHOD),
     "delivery_overall": lambda s: reports.delivery_overall(s.orders),
     "delivery_buckets": lambda s: reports.delivery_buckets(s.orders),
+    "delivery_by_state": lambda s: reports.delivery_by_state(s.orders),
     "slowest_states": lambda s: reports.slowest_states(s.orders),
     "delivery_days_histogram": lambda s: distribution.histogram(s.orders, "delivery_days", 10),
     "orders_by_hour": lambda s: reports.orders_by_hour(s.purchases),
@@ -432,7 +489,7 @@ QUERIES: dict[str, Query] = {
     "category_price_review": lambda s: dashboard.category_price_review(dashboard.top20_categories(s.orders)),
     "segment_distribution": lambda s: dashboard.segment_distribution(s.customers),
     "rfm_sample": lambda s: dashboard.rfm_sample(s.customers),
-    "rfm_fraction_sample": lambda s: pick.fraction_sample(s.scored, 500),
+    "rfm_fraction_sample": lambda s: pick.fraction_sample(s.scored, CUSTOMER, 500),
     "top_customers": lambda s: dashboard.top_customers(s.customers),
     "segment_cohort_trend": lambda s: dashboard.segment_cohort_trend(s.customers),
     "segment_month_matrix": lambda s: dashboard.segment_month_matrix(s.customers),
@@ -454,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "search_customers": lambda s: dashboard.search_customers(s.customers, SEARCH_TERM),
     "customers_page": lambda s: dashboard.customers_page(s.customers, 3, 10, SEARCH_TERM),
     "churn_page": lambda s: dashboard.churn_page(s.customers, 2, 25),
+    "customers_after": lambda s: dashboard.next_customers(s.customers, AFTER_CUSTOMER, 10),
     "customer_lookup": lambda s: dashboard.customer_lookup(s.customers, LOOKUP_CUSTOMER),
     "latest_order_per_customer": lambda s: dashboard.latest_order_per_customer(s.orders),
     # churn risk
@@ -473,6 +531,11 @@ QUERIES: dict[str, Query] = {
     "churn_scored": lambda s: s.boosted.scored(s.labelled),
     "churn_scored_v2": churn_scored_v2,
     "churn_metrics": churn_metrics,
+    "formula_metrics": formula_metrics,
+    "category_mean_metrics": category_mean_metrics,
+    "confusion_totals": confusion_totals,
+    "model_or_formula_scores": lambda s: churn_models.served(s.customers, s.boosted),
+    "model_table_given": model_table_given,
     "confusion_matrix": lambda s: s.boosted.confusion(s.labelled),
     "feature_importance": lambda s: s.boosted.importance(s.labelled),
     "churn_rf": single_model("forest", "legacy"),

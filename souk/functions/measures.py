@@ -34,7 +34,7 @@ def mean_of_ratios(c: str | Column) -> Column:
     A sum of doubles changes in its last bits with the merge order; a sum of decimals does not, so this mean is the
     same on every run and every cluster.
     """
-    return mean(col(c).cast("decimal(20,10)"))
+    return mean(col(c).cast("decimal(38,10)"))
 
 
 def rows() -> Column:

@@ -17,6 +17,7 @@ from souk.operators.rows import with_split, with_stratified_split
 from souk.plans.churn import (
     FEATURES,
     TRAINING_DEFAULTS,
+    minmax_risk,
     serving_scores,
     with_class_weight,
     with_levels,
@@ -102,18 +103,37 @@ def test_rows(labelled: DataFrame) -> DataFrame:
 test_rows.__test__ = False
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """At least one partition per core: a small written table is read in one, and would be trained on in one task."""
+    spark = rows.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(width, key)
+
+
 def labelled_customers(features: DataFrame) -> DataFrame:
     """Features with risk, label, class weight and an 80/20 split that depends on the customer id alone."""
     return with_split(with_class_weight(with_risk(features)), CUSTOMER)
 
 
-def stratified_customers(features: DataFrame) -> DataFrame:
-    return with_stratified_split(with_risk(features), CUSTOMER, "label")
+def stratified_customers(customers: DataFrame) -> DataFrame:
+    """Customer documents with the risk scaled to the range of each factor, the label above one half, and a split
+    stratified by that label. Missing inputs count as 0, as in the label."""
+    labelled = minmax_risk(customers).select(
+        CUSTOMER,
+        "recency",
+        "frequency",
+        F.col("monetary").cast("double").alias("monetary"),
+        F.col("avg_review_score").alias("avg_review"),
+        "avg_delivery_days",
+        "risk",
+        F.col("label").cast("double").alias("label"),
+    )
+    return with_stratified_split(labelled, CUSTOMER, "label")
 
 
 def _fit(labelled: DataFrame, features: Sequence[str], *tail: Estimator, vector: str = "features") -> Churn:
     """Fit on the training rows, which stay persisted while the estimator passes over them repeatedly."""
-    training = training_rows(labelled).persist()
+    training = spread(training_rows(labelled), CUSTOMER).persist()
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="skip")
         return Churn(Pipeline(stages=[assembler, *tail]).fit(training), tuple(features))

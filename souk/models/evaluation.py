@@ -47,7 +47,9 @@ def weighted_scores(cells: Mapping[tuple[float, float], int]) -> dict[str, float
 
 def classification_scores(predictions: DataFrame) -> dict[str, float]:
     cells = {(r["label"], r["prediction"]): r["row_count"] for r in confusion_matrix(predictions).collect()}
-    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(predictions)
+    # numBins=0 keeps every distinct score on the curve, however many there are.
+    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=0)
+    area = area.evaluate(predictions)
     return {name: round(value, 4) for name, value in ({"auc_roc": area} | weighted_scores(cells)).items()}
 
 

@@ -47,6 +47,12 @@ def records(spark: SparkSession, results: list[Mapping[str, Any]]) -> DataFrame:
     return nested.select("model_name", "best_model", body.alias("metrics_json"), tag)
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records that were written as JSON documents."""
+    schema = "model_name string, best_model string, metrics_json string, agg_type string"
+    return spark.read.schema(schema).json(path)
+
+
 def model_table(performance: DataFrame) -> DataFrame:
     """One row per model: scores, [[tn, fp], [fn, tp]] and importances in falling order. Best model marked ``*``."""
     metrics = performance.select(F.from_json("metrics_json", METRICS_SCHEMA).alias("m")).select("m.*")

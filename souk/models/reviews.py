@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.models import evaluation
-from souk.models.churn import test_rows, training_rows
+from souk.models.churn import spread, test_rows, training_rows
 from souk.operators.rows import with_split
 from souk.plans.reports import reviewed
 
@@ -27,7 +27,8 @@ NUMBERS = (
 FEATURES = (*NUMBERS, "category_index")
 
 # Model parameters.
-FOREST = {"numTrees": 50, "maxDepth": 8, "maxBins": 80, "seed": 42}
+FOREST = {"numTrees": 50, "maxDepth": 8, "seed": 42}
+LEAST_BINS = 80
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,7 @@ def review_rows(orders: DataFrame) -> DataFrame:
 
 
 def _fit(rows: DataFrame, regressor) -> ReviewModel:
-    training = training_rows(rows).persist()
+    training = spread(training_rows(rows), "order_id").persist()
     try:
         stages = [
             StringIndexer(inputCol=CATEGORY, outputCol="category_index", handleInvalid="keep"),
@@ -61,7 +62,9 @@ def _fit(rows: DataFrame, regressor) -> ReviewModel:
 
 
 def random_forest(rows: DataFrame) -> ReviewModel:
-    return _fit(rows, RandomForestRegressor(labelCol=LABEL, **FOREST))
+    """Every category needs a bin of its own, and unseen ones share one more."""
+    categories = rows.agg(F.count_distinct(CATEGORY)).first()[0]
+    return _fit(rows, RandomForestRegressor(labelCol=LABEL, maxBins=max(LEAST_BINS, categories + 2), **FOREST))
 
 
 def linear_regression(rows: DataFrame) -> ReviewModel:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.functions.measures import percent, rows, rows_where, with_share
+from souk.functions.measures import percent, rows, rows_where
 from souk.functions.text import is_blank
 from souk.sources.contracts import TableContract
 
@@ -79,8 +79,10 @@ def duplicate_keys(df: DataFrame, key: Sequence[str], null_keys_count: bool = Fa
     )
 
 
-def table_report(name: str, df: DataFrame, contract: TableContract) -> DataFrame:
-    """One manifest row for a table.
+def table_report(
+    name: str, df: DataFrame, contract: TableContract, rejected: DataFrame | None = None
+) -> DataFrame:
+    """One manifest row for a table; ``rejected`` holds the raw rows that could not be read.
 
     Null counts collapse to one row per task; the distinct keys, which cannot, are counted in a subquery that reads
     the key alone.
@@ -96,10 +98,15 @@ def table_report(name: str, df: DataFrame, contract: TableContract) -> DataFrame
     )
     no_duplicates = F.lit(0).cast("long")
     duplicates = df.agg(_duplicates(contract.key, False)).scalar() if has_key else no_duplicates
-    facts = facts.withColumn("duplicate_keys", duplicates)
+    lost = rejected.agg(rows()).scalar() if rejected is not None else F.lit(0).cast("long")
+    facts = facts.withColumns({"duplicate_keys": duplicates, "rejected_rows": lost})
     errors = [
         F.lit(f"missing required columns: {', '.join(missing)}" if missing else None),
         F.when(F.col("row_count") == 0, "table is empty"),
+        F.when(
+            F.col("rejected_rows") > 0,
+            F.concat(F.col("rejected_rows").cast("string"), F.lit(" rows do not fit their header")),
+        ),
         F.when(
             F.col("duplicate_keys") > 0,
             F.concat(F.col("duplicate_keys").cast("string"), F.lit(f" duplicate values in {', '.join(contract.key)}")),
@@ -112,6 +119,7 @@ def table_report(name: str, df: DataFrame, contract: TableContract) -> DataFrame
         F.lit(missing).cast("array<string>").alias("missing_columns"),
         F.map_filter("null_counts", lambda _, n: n > 0).alias("null_counts"),
         "duplicate_keys",
+        "rejected_rows",
         F.array_compact(F.array(*(e.cast("string") for e in errors))).alias("errors"),
     ).withColumn("valid", F.size("errors") == 0)
 
@@ -125,6 +133,7 @@ def absent_report(spark: SparkSession, name: str) -> DataFrame:
         F.array().cast("array<string>").alias("missing_columns"),
         F.create_map().cast("map<string,bigint>").alias("null_counts"),
         F.lit(0).cast("long").alias("duplicate_keys"),
+        F.lit(0).cast("long").alias("rejected_rows"),
         F.array(F.lit("source not found")).alias("errors"),
         F.lit(False).alias("valid"),
     )
@@ -249,4 +258,6 @@ def contract_violations(df: DataFrame, rules: Sequence[FieldRule]) -> DataFrame:
 
 
 def group_shares(df: DataFrame, column: str) -> DataFrame:
-    return with_share(df.groupBy(column).agg(rows().alias("row_count")), "row_count")
+    """Rows and share of each value. The total is a scalar subquery, as a column may have any number of values."""
+    groups = df.groupBy(column).agg(rows().alias("row_count"))
+    return groups.withColumn("percentage", percent("row_count", df.agg(rows()).scalar()))

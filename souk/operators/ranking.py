@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -134,12 +134,3 @@ def exact_percentiles(
         return low + (high - low) * (x - math.floor(x))
 
     return {c: {p: at(c, p) for p in points} for c in columns}
-
-
-def cut_by_group(
-    df: DataFrame, group: str, keys: Sequence[Key], cut: Callable[[int], int]
-) -> Mapping[str, Mapping[str, object] | None]:
-    """For each group, the row at position ``cut(rows)`` of the order; None when the group has no such row."""
-    ordered = range_sorted(df.select(group, *(k.column for k in keys)), [asc(group), *keys])
-    rows = rows_at(ordered, lambda n: [cut(n)] if cut(n) < n else [], group)
-    return {r[GROUP]: r.asDict() for r in rows}

@@ -1,34 +1,67 @@
 """Staged tables: an intermediate result written once to the cluster's shared folder.
 
 A staged table cuts the lineage, survives the loss of executors, and, being Parquet, still lets later reads prune
-columns. ``DataFrame.checkpoint`` would compute its last stage twice and keep whole rows.
+columns. ``DataFrame.checkpoint`` would compute its last stage twice and keep whole rows. Inside ``scope`` the tables
+staged are deleted at the end; others stay until the caller calls ``release``.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_staged: list[str] = []
+_local: list[tempfile.TemporaryDirectory] = []  # removed when the process ends
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode with the setting unset."""
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode with the setting unset.
+
+    On a cluster, a folder on the machine's own disk is refused: other machines would not see it.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
     if folder:
+        default = spark.conf.get("spark.hadoop.fs.defaultFS", None) or ""
+        if not local and (urlparse(folder).scheme or urlparse(default).scheme or "hdfs") == "file":
+            raise RuntimeError(f"{SETTING} is {folder}, which executors on other machines do not share")
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="souk-staged-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    _local.append(tempfile.TemporaryDirectory(prefix="souk-staged-", ignore_cleanup_errors=True))
+    context.setCheckpointDir(_local[-1].name)
+    return _local[-1].name
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once, write it, and return the written table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/souk-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the staged tables but for the first ``keep``. Nothing that reads them can run afterwards."""
+    context = spark.sparkContext
+    while len(_staged) > keep:
+        path = context._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, so results must be written or collected inside too."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        release(spark, before)

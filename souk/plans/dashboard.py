@@ -46,7 +46,7 @@ def kpi_overview(orders: DataFrame, customers: DataFrame, sellers: DataFrame) ->
     return orders.agg(
         total("order_value").alias("order_revenue"),
         rows().alias("total_orders"),
-        F.round(F.coalesce(F.avg(review), F.lit(0.0)), 2).alias("avg_review"),
+        F.round(F.coalesce(mean_of_ratios(review), F.lit(0.0)), 2).alias("avg_review"),
     ).withColumns(
         {
             "total_customers": customers.agg(rows()).scalar(),
@@ -88,9 +88,9 @@ def category_from_products(products: DataFrame, size: int = 20) -> DataFrame:
         products.groupBy("category_en")
         .agg(
             F.sum("total_orders").alias("total_sold"),
-            F.round(F.sum("total_revenue"), 2).alias("revenue"),
-            F.round(F.avg("avg_price"), 2).alias("avg_price"),
-            F.round(F.avg("avg_review_score"), 2).alias("avg_review"),
+            F.sum(F.col("total_revenue").cast("decimal(38,2)")).cast("double").alias("revenue"),
+            F.round(mean_of_ratios("avg_price"), 2).alias("avg_price"),
+            F.round(mean_of_ratios("avg_review_score"), 2).alias("avg_review"),
         )
         .orderBy(F.desc("total_sold"), "category_en")
         .limit(size)
@@ -210,7 +210,7 @@ def churn_by_segment(customers: DataFrame) -> DataFrame:
         rows().alias("total"),
         _churned().alias("churned"),
         percent(_churned(), rows()).alias("churn_rate"),
-        F.round(F.avg("churn_probability"), 2).alias("avg_probability"),
+        F.round(mean_of_ratios("churn_probability"), 2).alias("avg_probability"),
     )
     return groups.orderBy(F.desc("churned"), "segment")
 
@@ -344,7 +344,7 @@ def logistics_kpis(orders: DataFrame) -> DataFrame:
     late = rows_where(F.col("delivery_status") == labels.LATE)
     return _delivered(orders).agg(
         F.round(mean("delivery_days"), 1).alias("avg_delivery_days"),
-        F.round(F.avg("freight_ratio") * 100, 1).alias("avg_freight_pct"),
+        F.round(mean_of_ratios("freight_ratio") * 100, 1).alias("avg_freight_pct"),
         rows().alias("total_delivered"),
         late.alias("total_late"),
         percent(late, rows(), 1).alias("late_rate"),

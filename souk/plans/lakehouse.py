@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from souk.models import churn as churn_models
 from souk.models import evaluation, results, segments
 from souk.operators import quality
-from souk.operators.staging import stage
+from souk.operators.staging import scope, stage
 from souk.plans import churn, documents, reports, rfm, silver
 from souk.sources import lake, raw_csv
 from souk.sources.contracts import CONTRACTS
@@ -55,7 +55,8 @@ def ingest(spark: SparkSession, raw: Mapping[str, str], layout: Layout) -> DataF
         if raw_csv.exists(spark, path):
             landed = spark.read.parquet(raw_csv.land(spark, name, path, layout.bronze))
             checked = landed.drop(raw_csv.SOURCE_FILE, raw_csv.INGESTED_AT)
-            rows.append(quality.table_report(name, checked, CONTRACTS[name]))
+            rejected = spark.read.parquet(raw_csv.rejects_path(name, layout.bronze))
+            rows.append(quality.table_report(name, checked, CONTRACTS[name], rejected))
         else:
             rows.append(quality.absent_report(spark, name))
     manifest = rows[0]
@@ -116,14 +117,18 @@ def publish(spark: SparkSession, layout: Layout) -> None:
     lake.write_documents(customers, layout.documents("customers"))
     lake.write_documents(documents.product_documents(orders, tables), layout.documents("products"))
     lake.write_documents(documents.seller_documents(orders, tables), layout.documents("sellers"))
-    lake.write_documents(documents.aggregations_union(orders, segmented), layout.documents("aggregations"))
+    performance = layout.gold("model_performance")
+    models = results.read_records(spark, performance) if raw_csv.exists(spark, performance, "json") else None
+    lake.write_documents(documents.aggregations_union(orders, segmented, models), layout.documents("aggregations"))
     lake.write_reports(reports.run(orders, scored), layout.at("reports"))
 
 
 def run(spark: SparkSession, raw: Mapping[str, str], root: str) -> Layout:
+    """Run all layers; intermediate tables are deleted at the end."""
     layout = Layout(root)
-    ingest(spark, raw, layout)
-    build_silver(spark, layout)
-    build_gold(spark, layout)
-    publish(spark, layout)
+    with scope(spark):
+        ingest(spark, raw, layout)
+        build_silver(spark, layout)
+        build_gold(spark, layout)
+        publish(spark, layout)
     return layout

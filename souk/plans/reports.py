@@ -156,7 +156,7 @@ def review_distribution(orders: DataFrame) -> DataFrame:
 
 
 def review_average(orders: DataFrame) -> DataFrame:
-    return reviewed(orders).agg(F.round(F.avg("review_score"), 2).alias("avg_score"))
+    return reviewed(orders).agg(F.round(mean_of_ratios("review_score"), 2).alias("avg_score"))
 
 
 def review_by_delivery_status(orders: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def category_count(orders: DataFrame) -> DataFrame:
 def category_mean_review(orders: DataFrame) -> DataFrame:
     """Mean of the categories' mean scores, each category counting once."""
     groups = category_revenue(orders).filter(F.col("avg_review_score") > 0)
-    return groups.agg(F.round(F.avg("avg_review_score"), 2).alias("avg_review"))
+    return groups.agg(F.round(mean_of_ratios("avg_review_score"), 2).alias("avg_review"))
 
 
 # Delivery

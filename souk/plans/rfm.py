@@ -18,6 +18,7 @@ SCORE_KEYS = {
     "f_score": [desc("frequency"), asc(CUSTOMER)],
     "m_score": [desc("monetary"), asc(CUSTOMER)],
 }
+# The customer columns that an order carries.
 ORDER_COLUMNS = (
     "recency",
     "frequency",
@@ -40,7 +41,8 @@ def last_purchase(orders: DataFrame) -> Column:
 def rfm_customers(orders: DataFrame, reviewed_only: bool = False) -> DataFrame:
     """One row per customer with a delivered order.
 
-    ``orders`` has one row per order (silver), so counting rows counts orders. State and city are those of the
+    Orders without a customer are nobody's and left out. ``orders`` has one row per order (silver), so counting rows
+    counts orders. State and city are those of the
     latest order. Orders without a review enter the average with score 0 unless ``reviewed_only``.
     """
     score = F.col("review_score")
@@ -48,7 +50,7 @@ def rfm_customers(orders: DataFrame, reviewed_only: bool = False) -> DataFrame:
     delivered = orders.filter(F.col("order_status") == "delivered")
     at = "order_purchase_timestamp"
     latest = F.max(F.struct(at, "order_id", "customer_state", "customer_city"))
-    per_customer = delivered.groupBy(CUSTOMER).agg(
+    per_customer = delivered.filter(F.col(CUSTOMER).isNotNull()).groupBy(CUSTOMER).agg(
         F.count("order_id").alias("frequency"),
         F.sum("total_payment_value").alias("monetary"),
         mean_of_ratios(scored).alias("avg_review_score"),

@@ -5,7 +5,8 @@ Everything an order gets (customer, items, payments, reviews) is first aggregate
 * The aggregates and the deduplicated orders share the partitioning on ``order_id``, so these joins add no shuffle and
   cannot fan out.
 * An aggregate is unique on its grouping key, so Catalyst drops the join to any of them from a query that uses none of
-  its columns.
+  its columns. ``merged_orders_by_part`` is built that way, for single reports; ``merged_orders``, which is written with
+  all columns, reads each table as seldom as it can.
 * Sums, extremes and smallest-row picks combine map-side: an order that holds a third of the items reaches the shuffle
   as one row per task.
 * Lookups in customers, products and sellers come before these aggregates, with a shuffle of their own on either side
@@ -20,11 +21,12 @@ from pyspark.sql import functions as F
 
 from souk.functions import dates, labels
 from souk.functions.measures import mean, rows
-from souk.operators.ordering import asc
+from souk.operators.ordering import asc, nulls_last
 from souk.operators.rows import first_per_key, one_row_per_key
 from souk.sources.tables import Tables
 
 PURCHASE_ORDER = ("order_purchase_timestamp", "customer_id", "order_status")
+ITEM_ORDER = ("order_item_id", "product_id", "seller_id")
 PRODUCT_AVERAGES = ("weight_g", "length_cm", "height_cm", "width_cm", "photos_qty")
 
 # What a missing value becomes in the clean table.
@@ -137,8 +139,8 @@ def item_varieties(order_items: DataFrame) -> DataFrame:
 
 
 def first_items(order_items: DataFrame) -> DataFrame:
-    """Product and seller of each order's first item."""
-    first = F.min(F.struct("order_item_id", "product_id", "seller_id")).alias("first")
+    """Product and seller of each order's first item; an item without a number is the last."""
+    first = F.min(F.struct(*nulls_last(ITEM_ORDER))).alias("first")
     return order_items.groupBy("order_id").agg(first).select("order_id", "first.product_id", "first.seller_id")
 
 
@@ -177,20 +179,78 @@ def items_per_order(tables: Tables) -> DataFrame:
 
 
 def dedup_orders(orders: DataFrame) -> DataFrame:
-    """One row per order id: the earliest purchase."""
-    return first_per_key(orders, ["order_id"], [asc(c) for c in PURCHASE_ORDER])
+    """One row per order id: the earliest purchase. A copy without a date stays only if there is no other."""
+    return first_per_key(orders, ["order_id"], [asc(c, nulls_last=True) for c in PURCHASE_ORDER])
 
 
 def customers_per_order(tables: Tables) -> DataFrame:
     """Customer columns of each order, of the same row that ``dedup_orders`` keeps."""
     joined = tables.orders.select("order_id", *PURCHASE_ORDER).join(tables.customers, "customer_id", "left")
     columns = [c for c in tables.customers.columns if c != "customer_id"]
-    kept = F.min(F.struct(*PURCHASE_ORDER, *columns)).alias("kept")
+    kept = F.min(F.struct(*nulls_last(PURCHASE_ORDER), *columns)).alias("kept")
     return joined.groupBy("order_id").agg(kept).select("order_id", *(f"kept.{c}" for c in columns))
 
 
+def items_per_order_once(tables: Tables) -> DataFrame:
+    """The same columns as ``items_per_order`` from two scans of the items: one joined with products and sellers for
+    all sums and the first item, one for the distinct counts."""
+    averaged = [f"product_{p}" for p in PRODUCT_AVERAGES]
+    products = tables.products.select("product_id", "product_category_name", *averaged)
+    items = tables.order_items.select("order_id", *ITEM_ORDER, "price", "freight_value")
+    found = items.join(translated_products(products, tables.category_translation), "product_id", "left").join(
+        seller_places(tables.sellers).drop("seller_zip_code_prefix"), "seller_id", "left"
+    )
+    carried = {
+        "main_category_english": "product_category_name_english",
+        "main_category": "product_category_name",
+        "seller_city": "seller_city",
+        "seller_state": "seller_state",
+    }
+    first = F.min(F.struct(*nulls_last(ITEM_ORDER), *carried.values())).alias("first")
+    sums = found.groupBy("order_id").agg(
+        rows().alias("total_items"),
+        F.sum("price").alias("total_price"),
+        F.sum("freight_value").alias("total_freight_value"),
+        *(mean(n).alias(f"avg_{n}") for n in averaged),
+        first,
+    )
+    return sums.join(item_varieties(tables.order_items), "order_id", "left").select(
+        "order_id",
+        "total_items",
+        "total_price",
+        "total_freight_value",
+        "unique_products",
+        "unique_sellers",
+        *(F.col("first").getField(c).alias(name) for name, c in carried.items()),
+        *(f"avg_{n}" for n in averaged),
+    )
+
+
+def orders_with_customers(tables: Tables) -> DataFrame:
+    """One row per order, as ``dedup_orders`` keeps it, with the columns of its customer."""
+    joined = tables.orders.join(tables.customers, "customer_id", "left")
+    ties = [c for c in tables.customers.columns if c != "customer_id"]
+    kept = first_per_key(joined, ["order_id"], [asc(c, nulls_last=True) for c in (*PURCHASE_ORDER, *ties)])
+    return kept.select(*tables.orders.columns, *ties)
+
+
 def merged_orders(tables: Tables) -> DataFrame:
-    """One row per order with customer, items, payments and reviews; 36 columns."""
+    """One row per order with customer, items, payments and reviews; 36 columns. For the written table: every raw
+    table is read once, the items twice. ``merged_orders_by_part`` is for queries that use few of the columns."""
+    parts = (
+        items_per_order_once(tables),
+        payments_per_order(tables.payments),
+        reviews_per_order(tables.reviews),
+    )
+    merged = orders_with_customers(tables)
+    for part in parts:
+        merged = merged.join(part, "order_id", "left")
+    return merged
+
+
+def merged_orders_by_part(tables: Tables) -> DataFrame:
+    """The same table as ``merged_orders`` from one aggregate per group of columns, so that Catalyst drops those that a
+    query does not use."""
     parts = (
         customers_per_order(tables),
         items_per_order(tables),

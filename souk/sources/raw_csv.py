@@ -2,32 +2,84 @@
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, TimestampType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampType
 
 from souk.functions.dates import TIMESTAMP_FORMAT, parse_timestamp
+from souk.operators.staging import scope, stage
 from souk.sources.contracts import CONTRACTS, FOLDERS, TableContract
 
-SOURCE_FILE, INGESTED_AT = "_source_file", "_ingested_at"
+SOURCE_FILE, INGESTED_AT, REJECTED = "_source_file", "_ingested_at", "_rejected"
 
 
-def read_text_columns(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
-    """Every column of the CSV as text, named by its header.
+def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """The column names in the first line of each CSV file below ``path``. A file without any text has none.
+
+    One open and one line per file, as Spark itself does for Parquet footers.
+    """
+    context = spark.sparkContext
+    java, conf = context._jvm.java.io, context._jsc.hadoopConfiguration()
+    found = {}
+    for row in spark.read.format("binaryFile").load(path).select("path").collect():
+        place = context._jvm.org.apache.hadoop.fs.Path(row["path"])
+        reader = java.BufferedReader(java.InputStreamReader(place.getFileSystem(conf).open(place), "UTF-8"))
+        try:
+            line = (reader.readLine() or "").removeprefix("\ufeff")
+        finally:
+            reader.close()
+        found[row["path"]] = tuple(c.strip() for c in next(csv.reader([line]), []))
+    return {place: names for place, names in found.items() if names}
+
+
+def parse(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
+    """Every row of the CSV files below ``path``, each file read by its own header, all columns as text.
+
+    A row with more or fewer fields than its header has stands in ``_rejected`` as it came; for all others that column
+    is NULL. Columns that a file does not have are NULL.
 
     Free text may hold newlines, which ``multiLine`` keeps inside their row at the price of one task per file. Only
     tables with free text pay it, and only once: they are landed as Parquet (``land``), which later reads split.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", free_text)
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    files: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for place, names in sorted(headers(spark, path).items()):
+        files[names].append(place)
+    parts = []
+    for names, places in files.items():
+        fields = [StructField(n, StringType()) for n in (*names, REJECTED)]
+        parts.append(
+            spark.read.schema(StructType(fields))
+            .option("header", True)
+            .option("multiLine", free_text)
+            .option("escape", '"')
+            .option("encoding", "UTF-8")
+            .option("columnNameOfCorruptRecord", REJECTED)
+            .option("columnPruning", False)  # else a row's length would only be seen if all columns are asked for
+            .csv(places)
+            # Spark refuses plans that read this column alone, so it also depends on another, in a way that is always true.
+            .withColumn(REJECTED, F.when(F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0, F.col(REJECTED)))
+            .withColumn(SOURCE_FILE, F.input_file_name())
+        )
+    if not parts:
+        return spark.createDataFrame([], f"{REJECTED} string, {SOURCE_FILE} string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_text_columns(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
+    """The rows that fit their file's header, every column as text, named by that header."""
+    return parse(spark, path, free_text).filter(F.col(REJECTED).isNull()).drop(REJECTED, SOURCE_FILE)
+
+
+def rejected_rows(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
+    """(_source_file, record): the rows that do not, as they came."""
+    bad = parse(spark, path, free_text).filter(F.col(REJECTED).isNotNull())
+    return bad.select(SOURCE_FILE, F.col(REJECTED).alias("record"))
 
 
 def _typed(column: str, target: DataType) -> Column:
@@ -77,19 +129,23 @@ def source_files(spark: SparkSession, path: str) -> DataFrame:
 def land(spark: SparkSession, name: str, path: str, bronze_root: str) -> str:
     """Copy one raw table into bronze as Parquet, text as it came, with its origin.
 
-    Content is not judged here: a table that fails a quality check still lands, and the manifest says so.
+    Content is not judged here: a table that fails a quality check still lands, and the manifest says so. Rows that do
+    not fit their file's header go to ``rejects_path``; landed and rejected rows together are all rows of the files.
     """
     target = table_paths(bronze_root)[name]
-    (
-        read_text_columns(spark, path, CONTRACTS[name].free_text)
-        .withColumn(SOURCE_FILE, F.input_file_name())
-        .withColumn(INGESTED_AT, F.current_timestamp())
-        .write.mode("overwrite")
-        .parquet(target)
-    )
+    with scope(spark):  # the files are parsed once
+        parsed = stage(parse(spark, path, CONTRACTS[name].free_text))
+        rows = parsed.filter(F.col(REJECTED).isNull()).drop(REJECTED)
+        rows.withColumn(INGESTED_AT, F.current_timestamp()).write.mode("overwrite").parquet(target)
+        bad = parsed.filter(F.col(REJECTED).isNotNull()).select(SOURCE_FILE, F.col(REJECTED).alias("record"))
+        bad.write.mode("overwrite").parquet(rejects_path(name, bronze_root))
     return target
 
 
+def rejects_path(name: str, bronze_root: str) -> str:
+    return table_paths(f"{bronze_root.rstrip('/')}/rejected")[name]
+
+
 def read_bronze(spark: SparkSession, name: str, bronze_root: str) -> DataFrame:
     return apply_contract(spark.read.parquet(table_paths(bronze_root)[name]), CONTRACTS[name])
 

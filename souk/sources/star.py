@@ -18,7 +18,7 @@ STATUS = {"F": "delivered", "O": "shipped"}
 OTHER_STATUS = "canceled"
 REVIEW_SCORE = {"R": 1, "A": 3}
 OTHER_SCORE = 5
-UNTRANSLATED_CATEGORY = "MEDIUM"
+UNTRANSLATED_CATEGORY = "Brand#13"
 DELIVERY_CYCLE_DAYS, PROMISED_DAYS = 45, 25
 
 # The columns used, so that opening a table starts no schema-inference job.
@@ -29,7 +29,7 @@ SCHEMAS = {
     "l_shipdate timestamp_ntz",
     "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
     "nation": "n_nationkey int, n_name string",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_size int",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
@@ -90,7 +90,7 @@ def from_star(spark: SparkSession, root: str) -> Tables:
     nation = read(spark, root, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     parts = read(spark, root, "part")
     size = F.col("p_size")
-    category = F.col("p_type")
+    category = F.col("p_brand")
     return Tables(
         orders=_orders(read(spark, root, "orders"), lines),
         order_items=lines.select(

@@ -55,6 +55,20 @@ def test_importances_sum_to_one_and_fall(shop):
     assert found == sorted(found, reverse=True)
 
 
+def test_second_boosted_model_learns_the_min_max_label(shop):
+    from souk.plans.churn import minmax_risk
+
+    rows = shop.stratified.select("customer_unique_id", "label", "risk")
+    wanted = minmax_risk(shop.customers).selectExpr("customer_unique_id", "cast(label as double) label", "risk")
+    assert rows.exceptAll(wanted).count() == 0 and rows.count() == wanted.count()
+    assert set(churn.FEATURES) <= set(shop.stratified.columns)
+
+
+def test_training_is_spread_over_the_cores(spark, shop):
+    width = spark.sparkContext.defaultParallelism
+    assert churn.spread(churn.training_rows(shop.labelled), "customer_unique_id").rdd.getNumPartitions() >= width
+
+
 def test_legacy_models(shop):
     assert set(churn.LEGACY_FEATURES) < set(shop.legacy.columns)
     for model in (shop.forest, shop.logistic):

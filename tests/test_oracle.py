@@ -26,10 +26,10 @@ def test_every_statement_belongs_to_a_query():
 def test_queries_without_sql_are_models_or_sketches():
     assert set(catalog.QUERIES) - set(SQL) == {
         "order_percentiles_approx",
-        "rfm_fraction_sample",
         "kmeans_segments",
         "kmeans_quality",
         "churn_scored",
+        "model_or_formula_scores",
         "churn_scored_v2",
         "churn_metrics",
         "confusion_matrix",

@@ -1,5 +1,6 @@
 """Plan shapes that matter at scale."""
 
+import os
 import re
 from dataclasses import replace
 
@@ -8,7 +9,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from souk import catalog
-from souk.operators.staging import shared_folder, stage
+from souk.operators.staging import scope, shared_folder, stage
 from souk.plans import dashboard, documents, reports, rfm, silver
 from souk.sources import star
 
@@ -64,6 +65,31 @@ def test_children_join_without_another_shuffle(spark, shop):
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_written_orders_read_each_table_as_seldom_as_they_can(spark, shop):
+    """Over plain tables with broadcasts off: items twice, all else once, and at most half of the 28 exchanges that the
+    plan by parts has over the stand-in."""
+    tables = type(shop.tables)(**{name: stage(df) for name, df in shop.tables.items()})
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")
+    for name, value in settings:
+        spark.conf.set(name, value)
+    try:
+        text = plan(silver.merged_orders(tables))
+        by_part = plan(silver.merged_orders_by_part(tables))
+    finally:
+        for name, _ in settings:
+            spark.conf.unset(name)
+    for name, df in tables.items():
+        scans = re.findall(rf"FileScan.*{os.path.basename(df.inputFiles()[0].rsplit('/', 1)[0])}", text)
+        assert len(scans) == (2 if name == "order_items" else 1), name
+    assert text.count("Exchange hashpartitioning") <= 14 < by_part.count("Exchange hashpartitioning")
+
+
+def test_both_plans_of_the_order_table_agree(shop):
+    once, by_part = silver.merged_orders(shop.tables), silver.merged_orders_by_part(shop.tables)
+    assert sorted(once.columns) == sorted(by_part.columns)
+    assert once.exceptAll(by_part.select(*once.columns)).count() == 0 and once.count() == by_part.count()
+
+
 def test_top_k_does_not_sort_everything(shop):
     assert "TakeOrderedAndProject" in plan(dashboard.top_customers(shop.customers))
 
@@ -145,6 +171,22 @@ def test_staged_tables_go_to_the_named_folder():
     assert shared_folder(FakeSession("/shared", "local[8]")) == "/shared"
 
 
+def test_a_cluster_does_not_share_a_local_folder():
+    for folder in ("file:/tmp/x", "file:///tmp/x"):
+        with pytest.raises(RuntimeError, match="not share"):
+            shared_folder(FakeSession(folder, "yarn"))
+        assert shared_folder(FakeSession(folder, "local-cluster[2,1,1024]")) == folder
+
+
+def test_staged_tables_go_at_the_end_of_their_scope(spark):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    with scope(spark):
+        assert stage(spark.range(5)).count() == 5
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
+
+
 def test_no_temporary_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession(None, "yarn"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from souk.operators.ordering import after, asc, desc
 from souk.operators.ranking import distributed_ntile, exact_percentiles, ntile_starts
+from souk.operators import rows
 from souk.operators.rows import first_per_key, page, page_after, with_stratified_split
 
 
@@ -90,6 +91,36 @@ def test_stratified_split_is_exact_in_each_stratum(spark):
     assert counts == {(1.0, "train"): 8, (1.0, "test"): 2, (0.0, "train"): 74, (0.0, "test"): 19}
 
 
+def test_any_number_of_strata_costs_one_plan(spark):
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 200).alias("label"))
+    split = with_stratified_split(df, "id", "label", 0.5)
+    counts = {(r["label"], r["split"]): r["count"] for r in split.groupBy("label", "split").count().collect()}
+    for (label, _), n in counts.items():
+        whole = counts.get((label, "train"), 0) + counts.get((label, "test"), 0)
+        assert counts.get((label, "train"), 0) == whole // 2, (label, n)
+    assert sum(counts.values()) == 600 and split.columns == ["id", "label", "split"]
+    assert "Union" not in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deep_pages_are_those_of_the_whole_order(spark, monkeypatch):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("x"))
+    order = [desc("x"), asc("id")]
+    shallow = [[tuple(r) for r in page(df, order, n, 30).collect()] for n in (1, 17, 34, 35)]
+    monkeypatch.setattr(rows, "SHALLOW_ROWS", 0)
+    deep = [page(df, order, n, 30) for n in (1, 17, 34, 35)]
+    assert [[tuple(r) for r in p.collect()] for p in deep] == shallow
+    assert "TakeOrdered" not in deep[2]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nulls_last(spark):
+    df = spark.createDataFrame([(1, None), (1, 5), (1, 4), (2, None)], "k int, x int")
+    picked = first_per_key(df, ["k"], [asc("x", nulls_last=True)])
+    assert sorted(map(tuple, picked.collect())) == [(1, 4), (2, None)]
+    key = [asc("x", nulls_last=True)]
+    assert df.filter(after(key, {"x": 4}, inclusive=False)).count() == 3
+    assert df.filter(after(key, {"x": None}, inclusive=True)).count() == 2
+
+
 def test_pages(spark):
     df = spark.range(25).select("id", (F.col("id") % 5).alias("x"))
     order = [desc("x"), asc("id")]

@@ -439,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "overview_summary": lambda s: reports.overview_summary(s.orders),
     "order_percentiles_exact": lambda s: reports.order_percentiles(s.orders),
     "order_percentiles_approx": lambda s: reports.order_percentiles_approx(s.orders),
+    "order_percentiles_approx_ranks": lambda s: reports.order_percentiles_approx_ranks(s.orders),
     "orders_by_status": lambda s: reports.orders_by_status(s.orders),
     "monthly_revenue": lambda s: reports.monthly_revenue(s.orders),
     "monthly_revenue_growth": lambda s: reports.monthly_revenue_growth(s.orders),

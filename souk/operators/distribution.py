@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from souk.operators.ranking import exact_percentiles
 
+#: A sketched percentile is off by one ACCURACY-th of all rows at most.
+ACCURACY = 10_000
+
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal-width bins from the smallest to the largest value; the last bin is closed."""
@@ -62,7 +65,27 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def approx_percentiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
     """Sketch-based percentiles in one pass, one row per column."""
-    sketches = [F.percentile_approx(F.col(c).cast("double"), list(points)).alias(c) for c in columns]
+    sketches = [F.percentile_approx(F.col(c).cast("double"), list(points), ACCURACY).alias(c) for c in columns]
     names = [f"p{round(p * 100)}" for p in points]
     long = df.agg(*sketches).unpivot([], list(columns), "measure", "values")
     return long.select("measure", *(F.get("values", F.lit(i)).alias(n) for i, n in enumerate(names)))
+
+
+def approx_percentile_ranks(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
+    """(measure, point, row_count, within): whether each sketched percentile's exact rank is as near to the wanted one
+    as the sketch promises. One pass counts the rows below and up to each value; equal values are counted first."""
+    names = [f"p{round(p * 100)}" for p in points]
+    sketched = approx_percentiles(df, columns, points).unpivot(["measure"], names, "point", "value")
+    wanted = F.element_at(F.create_map(*(F.lit(x) for pair in zip(names, points, strict=True) for x in pair)), F.col("point"))
+    values = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], list(columns), "name", "x")
+    counted = values.filter("x is not null").groupBy("name", "x").agg(F.count(F.lit(1)).alias("n"))
+    # As many rows as there are columns and points.
+    ranked = counted.join(F.broadcast(sketched), F.col("name") == F.col("measure")).groupBy("measure", "point", "value").agg(
+        F.sum("n").alias("row_count"),
+        F.sum(F.when(F.col("x") < F.col("value"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("x") <= F.col("value"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    slack = F.col("row_count") / ACCURACY + 1
+    place = wanted * F.col("row_count")
+    within = (F.col("below") <= place + slack) & (F.col("upto") >= place - slack)
+    return ranked.select("measure", "point", "row_count", within.alias("within"))

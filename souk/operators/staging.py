@@ -8,6 +8,7 @@ staged are deleted at the end; others stay until the caller calls ``release``.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,10 +17,14 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_staged: list[str] = []
+_own = threading.local()  # staged paths by thread, so that one thread's scope leaves another's tables alone
 _local: list[tempfile.TemporaryDirectory] = []  # removed when the process ends
 
 
+def _paths() -> list[str]:
+    return _own.__dict__.setdefault("paths", [])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode with the setting unset.
 
@@ -44,24 +49,31 @@ def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once, write it, and return the written table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/souk-{uuid.uuid4().hex}"
-    _staged.append(path)
+    _paths().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession, keep: int = 0) -> None:
     """Delete the staged tables but for the first ``keep``. Nothing that reads them can run afterwards."""
-    context = spark.sparkContext
-    while len(_staged) > keep:
-        path = context._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    context, paths = spark.sparkContext, _paths()
+    while len(paths) > keep:
+        path = context._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
-def scope(spark: SparkSession) -> Iterator[None]:
-    """Tables staged inside are deleted at the end, so results must be written or collected inside too."""
-    before = len(_staged)
+def scope(spark: SparkSession, keep_last: bool = False) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, so results must be written or collected inside too.
+
+    With ``keep_last`` the table staged last stays, as the result of the steps before it.
+    """
+    paths = _paths()
+    before = len(paths)
     try:
         yield
     finally:
+        last = paths.pop() if keep_last and len(paths) > before else None
         release(spark, before)
+        if last:
+            paths.append(last)

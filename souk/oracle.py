@@ -554,6 +554,11 @@ QUERIES = {
             round(quantile_cont(cast({m} as double), 0.75), 6) p75 from silver"""
         for m in METRICS
     ),
+    "order_percentiles_approx_ranks": union(
+        f"select '{m}' measure, '{p}' as point, count({m}) row_count, true within from silver"
+        for m in METRICS
+        for p in ("p25", "p50", "p75")
+    ),
     "orders_by_status": f"""
         select order_status, order_count, total_revenue, avg_review_score, {SHARE.format(n='order_count')} from (
             select order_status, count(*) order_count,

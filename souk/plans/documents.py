@@ -47,6 +47,7 @@ ORDER_PARTS = {
         "satisfaction_level": "satisfaction_level",
     },
 }
+# Column names of the order documents and summaries.
 ORDER_HEAD = (
     "order_id",
     "order_status",

@@ -12,6 +12,7 @@ from souk.functions.measures import mean, mean_of_ratios, percent, rows, rows_wh
 from souk.operators import distribution
 from souk.operators.ranking import exact_percentiles
 
+# The columns that the reports describe.
 METRICS = (
     "total_price",
     "total_freight_value",
@@ -85,6 +86,10 @@ def order_percentiles_approx(orders: DataFrame, columns: Sequence[str] = METRICS
     return distribution.approx_percentiles(orders, columns, QUARTILES)
 
 
+def order_percentiles_approx_ranks(orders: DataFrame, columns: Sequence[str] = METRICS) -> DataFrame:
+    return distribution.approx_percentile_ranks(orders, columns, QUARTILES)
+
+
 def describe_orders(orders: DataFrame, columns: Sequence[str] = METRICS) -> DataFrame:
     return distribution.describe(orders, columns)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.frames import stage
+from souk.llm.frames import scope, stage
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -50,14 +50,14 @@ def components(links: DataFrame) -> DataFrame:
     An empty table gives an empty result.
     """
     a, b = links.columns
-    now = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct()
-    now = stage(now)
-    seen = None
-    while True:
-        now = stage(_small_star(_large_star(now)))
-        digest = _fingerprint(now)
-        if digest == seen or digest[0] == 0:
-            break
-        seen = digest
+    spark, seen = links.sparkSession, None
+    now = stage(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct())
+    with scope(spark, keep_last=True):
+        while True:
+            now = stage(_small_star(_large_star(now)))
+            digest = _fingerprint(now)
+            if digest == seen or digest[0] == 0:
+                break
+            seen = digest
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct())

@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.operators.staging import stage
+from souk.operators.staging import scope, stage
 
-__all__ = ["batches_by_bytes", "fresh", "keyed", "partitions_for", "shuffle_width", "stage"]
+__all__ = ["batches_by_bytes", "fresh", "keyed", "scope", "shuffle_width", "stage"]
 
 
 def fresh(columns: Iterable[str], base: str) -> str:
@@ -31,11 +31,6 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def partitions_for(df: DataFrame, rows: int, per_partition: int) -> int:
-    """Enough partitions for ``rows``, never fewer than the session's shuffle partitions."""
-    return max(shuffle_width(df), -(-rows // per_partition))
-
-
 def batches_by_bytes(
     batches: Iterable[pa.RecordBatch], column: str, limit: int
 ) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.frames import fresh, stage
+from souk.llm.frames import fresh, scope, stage
 from souk.operators.ordering import asc
 from souk.operators.ranking import ROW_ID, range_sorted
 
@@ -140,6 +140,11 @@ def repeated_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> Runs:
     """All later copies of runs of lines that have ``min_words`` words or more. See ``drop_repeated_runs``."""
+    with scope(docs.sparkSession, keep_last=True):
+        return Runs(stage(_later_copies(docs, id_col, text_col, min_words)))
+
+
+def _later_copies(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     wanted = needs(stretches(lines_of(docs, id_col, text_col), min_words), min_words)
     segments = stage(wanted)
     depth = segments.agg(F.max("need")).first()[0] or 1
@@ -189,7 +194,7 @@ def repeated_runs(
         F.max("end").alias("end"),
         F.min_by(F.struct("first_doc", "first_pos"), F.struct("start", "end")).alias("f"),
     )
-    return Runs(stage(merged.select("doc", "version", "start", "end", "f.*")))
+    return merged.select("doc", "version", "start", "end", "f.*")
 
 
 def drop_repeated_runs(
@@ -211,7 +216,8 @@ def drop_repeated_runs(
     """
     runs = repeated_runs(docs, id_col, text_col, min_words).later
     cuts = runs.groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
-    names = {c: fresh(docs.columns, c) for c in ("n_lines", "n_removed", "_doc", "_version", "_lines", "_cuts", "_keep")}
+    own = ("n_lines", "n_removed", "_doc", "_version", "_lines", "_cuts", "_d", "_v")
+    names = {c: fresh(docs.columns, c) for c in own}
     key, version = document_key(F.col(id_col), F.col(text_col))
     # The text travels as its lines, so that they are split once.
     prepared = docs.select(
@@ -222,9 +228,10 @@ def drop_repeated_runs(
     )
     # The cuts grow with the corpus: a sort-merge join at every size, never a broadcast.
     cuts = cuts.select(
-        F.col("doc").alias("_d"), F.col("version").alias("_v"), F.col("cuts").alias(names["_cuts"])
+        F.col("doc").alias(names["_d"]), F.col("version").alias(names["_v"]), F.col("cuts").alias(names["_cuts"])
     ).hint("merge")
-    matched = prepared.join(cuts, (F.col(names["_version"]) == F.col("_v")) & F.col(names["_doc"]).eqNullSafe(F.col("_d")), "left")
+    same = (F.col(names["_version"]) == F.col(names["_v"])) & F.col(names["_doc"]).eqNullSafe(F.col(names["_d"]))
+    matched = prepared.join(cuts, same, "left")
     lines, cut = F.col(names["_lines"]), F.col(names["_cuts"])
     size = F.size(lines)
     # What lies between the cuts: from the end of one to the start of the next.
@@ -241,4 +248,7 @@ def drop_repeated_runs(
         F.coalesce(size, F.lit(1)).alias(names["n_lines"]),
         F.coalesce(removed, F.lit(0)).alias(names["n_removed"]),
     )
-    return out.withColumn(length_col, F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast(docs.schema[length_col].dataType)) if length_col else out
+    if length_col:
+        chars = F.char_length(F.coalesce(F.col(text_col), F.lit("")))
+        out = out.withColumn(length_col, chars.cast(docs.schema[length_col].dataType))
+    return out

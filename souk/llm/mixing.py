@@ -96,7 +96,7 @@ def mix(
     """
     copy, key = fresh(docs.columns, "copy"), fresh(docs.columns, "mix_key")
     rates = stage(repetition_rates(docs, source_col, text_col, weights, exponent, epochs))
-    name, cdf, salt = (fresh(docs.columns, c) for c in ("_rated", "_cdf", "_salt"))
+    name, cdf, salt, n = (fresh(docs.columns, c) for c in ("_rated", "_cdf", "_salt", "_n"))
     known = rates.select(F.col("source").alias(name), poisson_cdf(F.col("rate")).alias(cdf))
     same = F.col(source_col).eqNullSafe(F.col(name))
     if rates.count() <= BROADCAST_SOURCES:
@@ -107,12 +107,12 @@ def mix(
         joined = own.join(salted, same & (own[salt] == salted[salt])).drop(salt)
     id_text = F.col(id_col).cast("string")
     drawn = uniform(id_text, F.lit(str(seed))) / F.lit(float(1 << HASH_BITS))
-    count = F.size(F.filter(cdf, lambda c: c <= F.col("_u")))
+    # The number of repetitions k with P(X <= k) not above the draw.
     repeated = (
-        joined.withColumn("_u", drawn)
-        .withColumn("_n", count)
-        .filter("_n > 0")
-        .select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias(copy))
+        joined.withColumn(salt, drawn)
+        .withColumn(n, F.size(F.filter(cdf, lambda c: c <= F.col(salt))))
+        .filter(F.col(n) > 0)
+        .select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col(n))).alias(copy))
     )
     ordered = repeated.withColumn(key, uniform(id_text, F.col(copy).cast("string"), F.lit(str(seed))))
     return ordered.repartition(shuffle_width(docs), key, id_col, copy).sortWithinPartitions(key, id_col, copy)

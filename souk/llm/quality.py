@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.frames import keyed, stage
+from souk.llm.frames import keyed, scope, stage
 
 #: Rows with a label that the model is fitted on at most, taken by a hash of their id. With more, all others only
 #: get scores.
@@ -179,8 +179,12 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     rows = known.count()
     if rows > MAX_LABELLED:
         known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(MAX_LABELLED / rows * (1 << 20))))
-    joined = stage(stats.join(known, "id").withColumn("calibrates", fold("id") == 1))
+    with scope(labels.sparkSession):
+        return _fit(stage(stats.join(known, "id").withColumn("calibrates", fold("id") == 1)))
 
+
+def _fit(joined: DataFrame) -> Model:
+    """A model from (id, stats, label, calibrates) rows."""
     each = [F.avg(F.col("stats")[i]).alias(f"m{i}") for i in range(STATISTICS)]
     each += [F.stddev_pop(F.col("stats")[i]).alias(f"s{i}") for i in range(STATISTICS)]
     row = joined.agg(F.count_if(F.col("label") == 1).alias("ones"), F.count(F.lit(1)).alias("n"), *each).first()

@@ -22,12 +22,15 @@ from souk.llm import (
     url_lists,
 )
 
-DOCS = "doc_id long, text string, source string, rank int, score double, n_tokens int, copy int, ids string"
+DOCS = (
+    "doc_id long, text string, source string, rank int, score double, n_tokens int, copy int, ids string, "
+    "_n int, _v int, _d int, _cdf int, _salt int, id int, fp int, doc int"
+)
 LONG = "lorem ipsum dolor " * 9000
 
 
 def docs_of(spark, rows):
-    return spark.createDataFrame([(i, t, s, 1, 0.5, 2, 3, "x") for i, t, s in rows], DOCS)
+    return spark.createDataFrame([(i, t, s, 1, 0.5, 2, 3, "x", *range(8)) for i, t, s in rows], DOCS)
 
 
 ODD = [

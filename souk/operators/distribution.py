@@ -72,7 +72,7 @@ def approx_percentiles(df: DataFrame, columns: Sequence[str], points: Sequence[f
 
 
 def approx_percentile_ranks(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
-    """(measure, point, row_count, within): whether each sketched percentile's exact rank is as near to the wanted one
+    """(measure, point, row_count, in_bounds): whether each sketched percentile's exact rank is as near to the wanted one
     as the sketch promises. One pass counts the rows below and up to each value; equal values are counted first."""
     names = [f"p{round(p * 100)}" for p in points]
     sketched = approx_percentiles(df, columns, points).unpivot(["measure"], names, "point", "value")
@@ -88,4 +88,4 @@ def approx_percentile_ranks(df: DataFrame, columns: Sequence[str], points: Seque
     slack = F.col("row_count") / ACCURACY + 1
     place = wanted * F.col("row_count")
     within = (F.col("below") <= place + slack) & (F.col("upto") >= place - slack)
-    return ranked.select("measure", "point", "row_count", within.alias("within"))
+    return ranked.select("measure", "point", "row_count", within.alias("in_bounds"))

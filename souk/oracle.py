@@ -555,7 +555,7 @@ QUERIES = {
         for m in METRICS
     ),
     "order_percentiles_approx_ranks": union(
-        f"select '{m}' measure, '{p}' as point, count({m}) row_count, true within from silver"
+        f"select '{m}' measure, '{p}' as point, count({m}) row_count, true in_bounds from silver"
         for m in METRICS
         for p in ("p25", "p50", "p75")
     ),

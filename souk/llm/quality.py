@@ -164,13 +164,8 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"i": table.column("i")[:1], "row": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
 
-def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model:
-    """A model from (id, stats) rows and their labels 0 and 1.
-
-    Held-out ids are left out; of the others one fold calibrates and the rest are summed into the normal equations. At
-    most about ``MAX_LABELLED`` labelled rows are used. Without labels of both kinds every score is the share of ones (0.5
-    without labels).
-    """
+def learnable(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """(id, label): the labels 0 and 1 that may be learnt, about ``MAX_LABELLED`` at most."""
     known = (
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
         .filter("id is not null and label in (0, 1)")
@@ -179,8 +174,23 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     rows = known.count()
     if rows > MAX_LABELLED:
         known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(MAX_LABELLED / rows * (1 << 20))))
+    return known
+
+
+def _labelled(stats: DataFrame, known: DataFrame) -> DataFrame:
+    return stage(stats.join(known, "id").withColumn("calibrates", fold("id") == 1))
+
+
+def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model:
+    """A model from (id, stats) rows and their labels 0 and 1.
+
+    Held-out ids are left out; of the others one fold calibrates and the rest are summed into the normal equations. At
+    most about ``MAX_LABELLED`` labelled rows are used. Without labels of both kinds every score is the share of ones (0.5
+    without labels).
+    """
+    known = learnable(labels, id_col, label_col)
     with scope(labels.sparkSession):
-        return _fit(stage(stats.join(known, "id").withColumn("calibrates", fold("id") == 1)))
+        return _fit(_labelled(stats, known))
 
 
 def _fit(joined: DataFrame) -> Model:
@@ -286,6 +296,10 @@ def keep_good(
     label_col: str = "quality",
     threshold: float = 0.3,
 ) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
-    model = fit(stage(text_statistics(docs, id_col, text_col)), labels, id_col, label_col)
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns. The model is that of
+    ``quality_scores``; to fit it, only texts with a label are looked at."""
+    with scope(docs.sparkSession):
+        known = stage(learnable(labels, id_col, label_col))
+        texts = keyed(docs, id_col, text_col).join(known.select("id").distinct(), "id", "left_semi")
+        model = _fit(_labelled(text_statistics(texts, "id", "text"), known))
     return docs.filter(score_text(model, docs[text_col]) >= threshold)

@@ -162,7 +162,8 @@ def pack(
         F.min("leaf").alias("first_leaf"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("conversations")
     )
     # A node's text is taken from the conversation that holds it first.
-    own = steps.select("leaf", "step.*").join(first, "node").filter("leaf = first_leaf").drop("leaf")
+    holder = first.withColumn("leaf", F.col("first_leaf"))
+    own = steps.select("leaf", "step.*").join(holder, ["node", "leaf"]).drop("leaf")
     ordered = range_sorted(own, [asc("first_leaf"), asc("depth")])
     part = F.shiftright(F.col(ROW_ID), PART_SHIFT)
     sized = ordered.withColumns({"part": part, "size": F.char_length("text").cast("long")})

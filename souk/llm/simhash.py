@@ -17,11 +17,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.components import components
-from souk.llm.frames import keyed, shuffle_width, stage
+from souk.llm.frames import fresh, keyed, shuffle_width, stage
 
 SEED = 42
 BITS = 64
@@ -51,16 +51,24 @@ def fingerprint(text: str, shingle_words: int = 3) -> int:
     return int(np.packbits(counts * 2 > n).view(">u8")[0])
 
 
+def version_of(text: Column) -> Column:
+    """A hash that tells apart the texts of rows that share an id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int = 3) -> DataFrame:
-    """(id, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
+    """(id, version, fp): one row per row of ``docs``; version is a hash of the text, fp the fingerprint as a signed
+    long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t.as_py(), shingle_words) for t in batch.column("text")]
             signed = np.array(prints, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(signed)], ["id", "fp"])
+            columns = [batch.column("id"), batch.column("version"), pa.array(signed)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "version", "fp"])
 
-    return keyed(docs, id_col, text_col).mapInArrow(run, "id long, fp long")
+    texts = keyed(docs, id_col, text_col)
+    return texts.withColumn("version", version_of(F.col("text"))).mapInArrow(run, "id long, version long, fp long")
 
 
 def _blocks() -> list[int]:
@@ -193,6 +201,18 @@ def links(distinct: DataFrame, max_distance: int = 3) -> DataFrame:
     return sorted_files.mapInArrow(_compare(max_distance), "a long, b long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_distance: int) -> DataFrame:
+    """(fp, id, version, root, group): every row of ``docs`` with its group's least fingerprint and least id."""
+    prints = stage(fingerprints(docs, id_col, text_col, shingle_words))
+    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    distinct = stage(distinct)
+    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fp")
+    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # Most fingerprints stand alone; only the others need their group's least id looked up.
+    least = rooted.groupBy("root").agg(F.min("least").alias("group"))
+    return prints.join(rooted.join(least, "root").select("fp", "root", "group"), "fp")
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 3
 ) -> DataFrame:
@@ -204,24 +224,26 @@ def simhash_groups(
     on and is never the smallest, unless a group has nothing else (then the group is null). An empty table gives an
     empty result. Other columns are ignored.
     """
-    prints = stage(fingerprints(docs, id_col, text_col, shingle_words))
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    distinct = stage(distinct)
-    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    # Most fingerprints stand alone; only the others need their group's least id looked up.
-    least = rooted.groupBy("root").agg(F.min("least").alias("group"))
-    groups = rooted.join(least, "root").select("fp", "group")
-    return prints.join(groups, "fp").select("id", "fp", "group")
+    return _grouped(docs, id_col, text_col, shingle_words, max_distance).select("id", "fp", "group")
 
 
-def first_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row for each group of near-duplicates: that of the smallest id (of equal rows, one).
+def first_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 3
+) -> DataFrame:
+    """``docs`` with one row for each group of near-duplicates: that of the smallest id.
 
-    Rows whose group has no id stay. All columns are kept.
+    A group without any id keeps one of its rows too, that of the smallest hash of its text; so does one whose smallest id
+    has several texts. Of rows with the same id and text one stays. All columns are kept.
     """
-    groups = simhash_groups(docs, id_col, text_col, **options)
-    kept = groups.filter(F.col("id") == F.col("group")).select(F.col("id").alias("_kept_id")).distinct()
-    named = docs.join(kept, docs[id_col].cast("long") == kept["_kept_id"], "left_semi")
-    nameless = docs.filter(F.col(id_col).isNull())
-    return named.dropDuplicates([id_col]).unionByName(nameless)
+    groups = _grouped(docs, id_col, text_col, shingle_words, max_distance)
+    chosen = groups.filter(F.col("id").eqNullSafe(F.col("group"))).groupBy("root")
+    firsts = stage(chosen.agg(F.min("id").alias("first_id"), F.min("version").alias("first_version")).drop("root"))
+    version = fresh(docs.columns, "version")
+    own = docs.withColumn(version, version_of(F.col(text_col)))
+    # Rows with and without id apart, so that each join is on plain equality and the last step needs no shuffle of its own.
+    with_id, without_id = firsts.filter("first_id is not null"), firsts.filter("first_id is null")
+    same_id = own[id_col].cast("long") == with_id["first_id"]
+    named = own.join(with_id, same_id & (own[version] == with_id["first_version"]), "left_semi")
+    unnamed = own.filter(F.col(id_col).isNull())
+    nameless = unnamed.join(without_id, unnamed[version] == without_id["first_version"], "left_semi")
+    return named.dropDuplicates([id_col, version]).unionByName(nameless.dropDuplicates([version])).drop(version)

@@ -6,13 +6,22 @@ inverting its distribution at a number hashed from the document's id and a seed,
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.frames import fresh, shuffle_width, stage
 
-#: Rates of up to so many sources are broadcast; beyond, documents are joined with them in salted groups.
-BROADCAST_SOURCES = 20_000
+#: Distributions of all sources with up to so many numbers together are broadcast (32 MB); beyond, documents are joined
+#: with them in salted groups.
+BROADCAST_NUMBERS = 1 << 22
+#: A distribution is written out so many standard deviations, and as many steps more, on either side of its mean. What lies
+#: outside is far below the hash's resolution.
+DEVIATIONS, STEPS = 10, 30
 SALTS = 64
 HASH_BITS = 52
 
@@ -23,24 +32,25 @@ def uniform(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def poisson_cdf(rate: Column) -> Column:
-    """Array with P(X <= k) for k = 0, 1, ..., up to where nothing is left at the hash's resolution."""
-    last = F.ceil(rate + 10 * F.sqrt(rate) + 30).cast("int")
-    terms = F.aggregate(
-        F.sequence(F.lit(1), last),
-        F.struct(
-            (-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).cast("array<double>").alias("all")
-        ),
-        lambda acc, k: F.struct(
-            (acc["log"] + F.log(rate) - F.log(k.cast("double"))).alias("log"),
-            (acc["sum"] + F.exp(acc["log"] + F.log(rate) - F.log(k.cast("double")))).alias("sum"),
-            F.concat(
-                acc["all"], F.array(acc["sum"] + F.exp(acc["log"] + F.log(rate) - F.log(k.cast("double"))))
-            ).alias("all"),
-        ),
-        lambda acc: acc["all"],
-    )
-    return F.when(rate > 0, terms).otherwise(F.array(F.lit(1.0)))
+def poisson_cdf(rate: float) -> tuple[int, np.ndarray]:
+    """The first k that can be drawn, and P(X <= k) from there on to where nothing is left."""
+    if not rate > 0:
+        return 0, np.ones(1)
+    spread = DEVIATIONS * math.sqrt(rate) + STEPS
+    first = max(0, math.floor(rate - spread))
+    k = np.arange(first + 1, math.ceil(rate + spread) + 1, dtype=np.float64)
+    # Each term is the one before times rate / k; logarithms are taken against the largest, so that none overflows.
+    logs = np.concatenate([[0.0], np.cumsum(np.log(rate / k))])
+    cdf = np.cumsum(np.exp(logs - logs.max()))
+    return first, cdf / cdf[-1]
+
+
+def _distributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            first, cdf = poisson_cdf(batch.column("rate")[i].as_py())
+            columns = [batch.column("source").slice(i, 1), pa.array([first]), pa.array([cdf], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["source", "first", "cdf"])
 
 
 def repetition_rates(
@@ -96,10 +106,12 @@ def mix(
     """
     copy, key = fresh(docs.columns, "copy"), fresh(docs.columns, "mix_key")
     rates = stage(repetition_rates(docs, source_col, text_col, weights, exponent, epochs))
-    name, cdf, salt, n = (fresh(docs.columns, c) for c in ("_rated", "_cdf", "_salt", "_n"))
-    known = rates.select(F.col("source").alias(name), poisson_cdf(F.col("rate")).alias(cdf))
+    name, first, cdf, salt, n = (fresh(docs.columns, c) for c in ("_rated", "_first", "_cdf", "_salt", "_n"))
+    kind = rates.schema["source"].dataType.simpleString()
+    known = rates.mapInArrow(_distributions, f"source {kind}, first long, cdf array<double>").toDF(name, first, cdf)
     same = F.col(source_col).eqNullSafe(F.col(name))
-    if rates.count() <= BROADCAST_SOURCES:
+    width = 2 * DEVIATIONS * F.sqrt(F.greatest("rate", F.lit(0.0))) + F.lit(2 * STEPS + 2)
+    if (rates.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_NUMBERS:
         joined = docs.join(F.broadcast(known), same)
     else:
         salted = known.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -110,7 +122,7 @@ def mix(
     # The number of repetitions k with P(X <= k) not above the draw.
     repeated = (
         joined.withColumn(salt, drawn)
-        .withColumn(n, F.size(F.filter(cdf, lambda c: c <= F.col(salt))))
+        .withColumn(n, (F.col(first) + F.size(F.filter(cdf, lambda c: c <= F.col(salt)))).cast("int"))
         .filter(F.col(n) > 0)
         .select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col(n))).alias(copy))
     )

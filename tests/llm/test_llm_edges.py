@@ -135,6 +135,13 @@ def test_simhash(spark, odd, none):
     assert simhash.first_of_each_group(none).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    texts = {None: ["one two", "alone here", "alone here"], 6: ["one two"], 9: ["a first text", "some quite different words"]}
+    docs = docs_of(spark, [(i, t, "a") for i, found in texts.items() for t in found])
+    kept = sorted((str(r.doc_id), r.text) for r in simhash.first_of_each_group(docs).collect())
+    assert kept == [("6", "one two"), ("9", "a first text"), ("9", "some quite different words"), ("None", "alone here")]
+
+
 @pytest.mark.parametrize("chunk", [8, 2048])
 def test_links_join_what_all_pairs_join(spark, monkeypatch, chunk):
     """A large group of near fingerprints, dealt out in many chunks."""
@@ -213,7 +220,7 @@ def test_mixing(spark, odd, none, monkeypatch):
     mixed = mixing.mix(odd, epochs=3.0)
     assert mixed.columns == [*odd.columns, "copy_", "mix_key"]
     rows = sorted(((r.doc_id or -1), r.copy_, r.mix_key) for r in mixed.collect())
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_NUMBERS", 0)
     assert sorted(((r.doc_id or -1), r.copy_, r.mix_key) for r in mixing.mix(odd, epochs=3.0).collect()) == rows
     assert mixing.mix(none).count() == 0
 
@@ -227,15 +234,32 @@ def test_mixing_reaches_the_target_weights(spark):
     assert {r.source for r in mixing.mix(docs, weights=only).select("source").distinct().collect()} == {"small"}
 
 
-def test_poisson_distribution(spark):
+def test_poisson_distribution():
     from math import exp, factorial
 
     for rate in (0.0, 0.3, 4.0):
-        cdf = spark.range(1).select(mixing.poisson_cdf(F.lit(rate))).first()[0]
+        first, cdf = mixing.poisson_cdf(rate)
+        assert first == 0
         for k, value in enumerate(cdf[:12]):
             assert value == pytest.approx(sum(exp(-rate) * rate**j / factorial(j) for j in range(k + 1)), abs=1e-12)
 
 
+@pytest.mark.parametrize("rate", [5e3, 1e6, 1e9])
+def test_poisson_distribution_of_a_high_rate_is_short_and_right(rate):
+    first, cdf = mixing.poisson_cdf(rate)
+    k, p = first + np.arange(len(cdf)), np.diff(cdf, prepend=0.0)
+    assert len(cdf) < 20 * rate**0.5 + 64 and cdf[-1] == 1 and cdf[0] < 1e-16
+    assert (p * k).sum() == pytest.approx(rate, rel=1e-9)
+    assert (p * (k - rate) ** 2).sum() == pytest.approx(rate, rel=1e-6)
+
+
+def test_mixing_repeats_a_rare_source_very_often(spark):
+    docs = docs_of(spark, [(i, "w" * 1000, "big") for i in range(300)] + [(900, "w", "rare")])
+    counts = {r.source: r["count"] for r in mixing.mix(docs).groupBy("source").count().collect()}
+    rate = (300_001 / (300_000**0.5 + 1)) / 1
+    assert abs(counts["rare"] - rate) < 6 * rate**0.5
+
+
 VECTORS = [
     (0, [1.0, 0.5]),
     (100, [1.0, 0.5]),

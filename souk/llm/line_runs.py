@@ -81,20 +81,15 @@ def needs(segments: DataFrame, min_words: int) -> DataFrame:
     upto = Window.partitionBy(*seg).orderBy("pos")
     # A border is the place behind a line, at the words so far. A start looks for the first border min_words further on.
     summed = segments.withColumn("sum", F.sum("words").over(upto))
-    border = F.struct((F.col("pos") + 1).alias("at"), F.lit(None).cast("int").alias("start"), F.col("sum").alias("words"))
-    start = F.struct(
-        F.lit(None).cast("int").alias("at"),
-        F.col("pos").alias("start"),
-        (F.col("sum") - F.col("words") + F.lit(min_words)).alias("words"),
-    )
-    points = summed.select(*seg, F.explode(F.array(border, start)).alias("p")).select(*seg, "p.*")
+    # Each point carries its line, so that nothing is joined back and documents without id keep their lines.
+    border = F.struct((F.col("pos") + 1).alias("at"), F.col("sum").alias("upto"))
+    start = F.struct(F.lit(None).cast("int").alias("at"), (F.col("sum") - F.col("words") + F.lit(min_words)).alias("upto"))
+    own = segments.columns
+    points = summed.select(*own, F.explode(F.array(border, start)).alias("p")).select(*own, "p.*")
     # From the largest sum down, borders before starts of the same sum: the least border so far is the one wanted.
-    down = Window.partitionBy(*seg).orderBy(F.desc("words"), F.col("at").isNull(), F.desc("at"))
+    down = Window.partitionBy(*seg).orderBy(F.desc("upto"), F.col("at").isNull(), F.desc("at"))
     found = points.withColumn("end", F.min("at").over(down.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = found.filter("start is not null").select(
-        *seg, F.col("start").alias("pos"), (F.col("end") - F.col("start")).alias("need")
-    )
-    return segments.join(starts, [*seg, "pos"])
+    return found.filter("at is null").select(*own, (F.col("end") - F.col("pos")).alias("need"))
 
 
 def _ranked(rows: DataFrame, pair: list[str]) -> DataFrame:

@@ -216,6 +216,16 @@ def test_repeated_runs_on_odd_rows(spark, odd, none):
     assert line_runs.drop_repeated_runs(none).count() == 0
 
 
+def test_documents_without_id_take_part_in_repeated_runs(spark):
+    shared, other = ("\n".join(f"{w} line {i} of a long run" for i in range(12)) for w in ("shared", "other"))
+    texts = [(7, f"numbered\n{shared}"), (None, f"first\n{shared}\nend"), (None, f"second\n{shared}")]
+    texts += [(None, f"third\n{other}"), (None, f"fourth\n{other}")]
+    found = line_runs.drop_repeated_runs(docs_of(spark, [(i, t, "s") for i, t in texts]))
+    kept = {r.text.split("\n")[0]: r.text for r in found.collect()}
+    assert kept["numbered"] == texts[0][1] and kept["first"] == "first\nend" and kept["second"] == "second"
+    assert sorted(len(kept[x].split("\n")) for x in ("third", "fourth")) == [1, 13]
+
+
 def test_mixing(spark, odd, none, monkeypatch):
     mixed = mixing.mix(odd, epochs=3.0)
     assert mixed.columns == [*odd.columns, "copy_", "mix_key"]

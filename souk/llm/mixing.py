@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Poisson replication.
 
 Each document is repeated as often as a Poisson variable with its source's repetition rate says. The variable is found by
-inverting its distribution at a number hashed from the document's id and a seed, so a rerun gives the same mix.
+inverting its distribution at a number hashed from the document's id (its text, if it has none) and a seed, so a rerun
+gives the same mix.
 """
 
 from __future__ import annotations
@@ -100,8 +101,9 @@ def mix(
 ) -> DataFrame:
     """``docs`` with each row as often as its draw says, in random order, plus ``copy`` (from 1) and ``mix_key``.
 
-    The order is that of ``mix_key`` within hashed partitions. Rows with one id get one draw, repeated rows too. Null
-    ids are hashed as the word null. Null and empty texts count no bytes. An empty table gives an empty result. Should
+    The order is that of ``mix_key`` within hashed partitions. Rows with one id get one draw, repeated rows too. Rows
+    without id are hashed by their texts, so that only those with equal texts share a draw. Null and empty texts count no
+    bytes. An empty table gives an empty result. Should
     ``docs`` have a column named like one that is added, underscores are put behind the added one's name.
     """
     copy, key = fresh(docs.columns, "copy"), fresh(docs.columns, "mix_key")
@@ -117,7 +119,8 @@ def mix(
         salted = known.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         own = docs.withColumn(salt, F.pmod(F.xxhash64(id_col, text_col), F.lit(SALTS)).cast("int"))
         joined = own.join(salted, same & (own[salt] == salted[salt])).drop(salt)
-    id_text = F.col(id_col).cast("string")
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    id_text = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), digest))
     drawn = uniform(id_text, F.lit(str(seed))) / F.lit(float(1 << HASH_BITS))
     # The number of repetitions k with P(X <= k) not above the draw.
     repeated = (

@@ -244,6 +244,14 @@ def test_mixing_reaches_the_target_weights(spark):
     assert {r.source for r in mixing.mix(docs, weights=only).select("source").distinct().collect()} == {"small"}
 
 
+def test_documents_without_id_are_drawn_apart(spark):
+    docs = docs_of(spark, [(None, f"text {i:04}", "big") for i in range(2000)] + [(1, "w" * 18_000, "small")])
+    weights = spark.createDataFrame([("big", 0.15), ("small", 0.85)], "source string, weight double")
+    rows = mixing.mix(docs, weights=weights).filter("source = 'big'").collect()  # 36,000 bytes: a rate of 0.3
+    assert len(rows) == pytest.approx(600, rel=0.15)
+    assert len({r.mix_key for r in rows}) == len(rows) > len({r.text for r in rows}) > 400
+
+
 def test_poisson_distribution():
     from math import exp, factorial
 

@@ -29,9 +29,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by fingerprints of three-word shingles, 3 bits apart at most, the one with the
-    smallest id stays."""
-    return simhash.first_of_each_group(docs, shingle_words=3, max_distance=3)
+    """Of each group of documents linked by fingerprints of three-word shingles, 3 bits apart at most, or by five-word
+    shingles with a Jaccard similarity of 0.8 or more, the one with the smallest id stays."""
+    return simhash.first_of_each_group(docs, shingle_words=3, max_distance=3, similarity=0.8)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

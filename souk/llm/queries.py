@@ -76,7 +76,8 @@ def op3_url_filters(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, root: str) -> DataFrame:
-    groups = simhash.simhash_groups(_read(spark, root, "documents"), shingle_words=3, max_distance=3)
+    docs = _read(spark, root, "documents")
+    groups = simhash.simhash_groups(docs, shingle_words=3, max_distance=3, similarity=None)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select(F.col("id").alias("doc_id"), hexed.alias("fingerprint"), F.col("group").alias("component_id"))
 

@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.llm import similar
 from souk.llm.components import components
 from souk.llm.frames import fresh, keyed, shuffle_width, stage
 
@@ -56,19 +57,28 @@ def version_of(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int = 3) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str, text_col: str, shingle_words: int = 3, with_bands: bool = False
+) -> DataFrame:
     """(id, version, fp): one row per row of ``docs``; version is a hash of the text, fp the fingerprint as a signed
-    long."""
+    long. With ``with_bands`` also ``same`` and ``bands``, the digest and the file keys of the set of five-word shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t.as_py(), shingle_words) for t in batch.column("text")]
             signed = np.array(prints, dtype=np.uint64).view(np.int64)
             columns = [batch.column("id"), batch.column("version"), pa.array(signed)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "version", "fp"])
+            if with_bands:
+                sets = [similar.shingle_set(t.as_py()) for t in batch.column("text")]
+                columns.append(pa.array([similar.same_set(s) for s in sets], pa.int64()))
+                columns.append(pa.array([similar.bands(s) for s in sets], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    texts = keyed(docs, id_col, text_col)
-    return texts.withColumn("version", version_of(F.col("text"))).mapInArrow(run, "id long, version long, fp long")
+    kinds = {"id": "long", "version": "long", "fp": "long"}
+    kinds |= {"same": "long", "bands": "array<long>"} if with_bands else {}
+    names = list(kinds)
+    texts = keyed(docs, id_col, text_col).withColumn("version", version_of(F.col("text")))
+    return texts.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in kinds.items()))
 
 
 def _blocks() -> list[int]:
@@ -201,41 +211,62 @@ def links(distinct: DataFrame, max_distance: int = 3) -> DataFrame:
     return sorted_files.mapInArrow(_compare(max_distance), "a long, b long")
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_distance: int) -> DataFrame:
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_distance: int, similarity: float | None
+) -> DataFrame:
     """(fp, id, version, root, group): every row of ``docs`` with its group's least fingerprint and least id."""
-    prints = stage(fingerprints(docs, id_col, text_col, shingle_words))
+    prints = stage(fingerprints(docs, id_col, text_col, shingle_words, with_bands=similarity is not None))
     distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
     distinct = stage(distinct)
-    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fp")
+    found = links(distinct, max_distance)
+    if similarity is None:
+        roots = components(found)
+    else:
+        texts = keyed(docs, id_col, text_col).select(version_of(F.col("text")).alias("version"), "text")
+        roots = similar.similar_roots(prints, texts, found, similarity)
+    roots = roots.withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # Most fingerprints stand alone; only the others need their group's least id looked up.
     least = rooted.groupBy("root").agg(F.min("least").alias("group"))
-    return prints.join(rooted.join(least, "root").select("fp", "root", "group"), "fp")
+    named = prints.select("fp", "id", "version")
+    return named.join(rooted.join(least, "root").select("fp", "root", "group"), "fp")
 
 
 def simhash_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 3
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 3,
+    max_distance: int = 3,
+    similarity: float | None = 0.8,
 ) -> DataFrame:
     """(id, fp, group): every row of ``docs`` with its fingerprint and the smallest id it is linked to, directly or
     through others.
 
+    Texts are linked if their fingerprints differ in ``max_distance`` bits or fewer, and if their sets of five-word shingles
+    have a Jaccard similarity of ``similarity`` or more (see ``similar``; None leaves these links out).
     Null texts count as empty. Texts without words have fingerprint zero and are linked like all others; texts with
     fewer words than a shingle have one shingle. Repeated rows stay, with the same group. A null id is passed
     on and is never the smallest, unless a group has nothing else (then the group is null). An empty table gives an
     empty result. Other columns are ignored.
     """
-    return _grouped(docs, id_col, text_col, shingle_words, max_distance).select("id", "fp", "group")
+    return _grouped(docs, id_col, text_col, shingle_words, max_distance, similarity).select("id", "fp", "group")
 
 
 def first_of_each_group(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 3
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 3,
+    max_distance: int = 3,
+    similarity: float | None = 0.8,
 ) -> DataFrame:
     """``docs`` with one row for each group of near-duplicates: that of the smallest id.
 
     A group without any id keeps one of its rows too, that of the smallest hash of its text; so does one whose smallest id
     has several texts. Of rows with the same id and text one stays. All columns are kept.
     """
-    groups = _grouped(docs, id_col, text_col, shingle_words, max_distance)
+    groups = _grouped(docs, id_col, text_col, shingle_words, max_distance, similarity)
     chosen = groups.filter(F.col("id").eqNullSafe(F.col("group"))).groupBy("root")
     firsts = stage(chosen.agg(F.min("id").alias("first_id"), F.min("version").alias("first_version")).drop("root"))
     version = fresh(docs.columns, "version")

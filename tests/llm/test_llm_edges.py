@@ -142,6 +142,34 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert kept == [("6", "one two"), ("9", "a first text"), ("9", "some quite different words"), ("None", "alone here")]
 
 
+def test_texts_with_similar_five_word_shingles_are_one_group(spark):
+    """Edited copies, compared pair by pair; most are more than three bits apart."""
+    draw = random.Random(5)
+    texts = []
+    for g in range(12):
+        words = [f"w{draw.randrange(400)}" for _ in range(draw.choice([60, 150, 400]))]
+        for _ in range(6):
+            copy = list(words)
+            for at in draw.sample(range(len(copy)), round(len(copy) * draw.choice([0, 0.01, 0.02, 0.04]))):
+                copy[at] = f"edit{draw.random()}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    prints = [simhash.fingerprint(t) for t in texts]
+    label, far = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            alike = len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8
+            near = (prints[i] ^ prints[j]).bit_count() <= 3
+            far += alike and not near
+            if alike or near:
+                label = [label[j] if x == label[i] else x for x in label]
+    least = {x: label.index(x) for x in label}
+    docs = docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    found = {r.id: r.group for r in simhash.simhash_groups(docs).collect()}
+    assert far > 10 and found == {i: least[x] for i, x in enumerate(label)}
+    assert len(set(found.values())) < simhash.simhash_groups(docs, similarity=None).select("group").distinct().count()
+
+
 @pytest.mark.parametrize("chunk", [8, 2048])
 def test_links_join_what_all_pairs_join(spark, monkeypatch, chunk):
     """A large group of near fingerprints, dealt out in many chunks."""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import ann, bpe, chat, exact_topk, line_runs, mixing, quality, simhash, token_counts, url_lists
+from souk.llm import (
+    alignment,
+    ann,
+    bpe,
+    chat,
+    exact_topk,
+    line_runs,
+    mixing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    url_lists,
+    whitening,
+)
 
 
 def _read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -124,6 +138,41 @@ def op10_chat(spark: SparkSession, root: str) -> DataFrame:
     return chat.read_back(chat.pack(given.unionByName(added)))
 
 
+def op11_alignment(spark: SparkSession, root: str) -> DataFrame:
+    measures, _ = alignment.align_corpus(_read(spark, root, "documents"))
+    return measures.withColumnRenamed("id", "doc_id")
+
+
+def op12_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    scores = toxicity.toxicity(_read(spark, root, "documents"), _read(spark, root, "labels"), threshold=0.5)
+    worst = F.array_max(F.transform("offending", lambda s: F.struct(s["score"], -s["start"], s["end"])))
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        "held_out",
+        "score",
+        "predicted",
+        "n_sentences",
+        F.size("offending").alias("n_offending"),
+        (-worst["col2"]).alias("worst_start"),
+        worst["end"].alias("worst_end"),
+    )
+
+
+def op13_whitening(spark: SparkSession, root: str) -> DataFrame:
+    rows, model = whitening.whiten(_read(spark, root, "embeddings"), k=16)
+    share = F.array(*(F.lit(float(x)) for x in model.explained)) if len(model.explained) else F.lit(None).cast("array<double>")
+    each = rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(share, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 def pipeline(spark: SparkSession, root: str) -> DataFrame:
     import corpus_pipeline
 
@@ -143,6 +192,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_mixing,
         op10_chat,
+        op11_alignment,
+        op12_toxicity,
+        op13_whitening,
         pipeline,
     )
 }

@@ -29,7 +29,7 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 def test_there_is_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 

@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +33,7 @@ from souk.llm.token_counts import SPACE, splits_at_spaces
 #: Bytes of text that are aligned at a time.
 BATCH_BYTES = 1 << 20
 #: Words whose alignment a worker remembers, and their longest, in characters.
-WORDS = 200_000
+WORDS = 400_000
 LONGEST = 48
 #: A table of pair counts of at most so many rows (12 bytes each, so 48 MB) goes to every executor; a larger one is joined.
 BROADCAST_PAIRS = 4_000_000
@@ -52,17 +53,27 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@dataclass(frozen=True, slots=True)
-class Aligned:
-    """One stretch of text under both tokenizers: their numbers of tokens, the groups as ``a1,a2|b1;a3|b2``, and
-    the linked pairs as 32-bit codes, one for each link."""
+class Aligned(NamedTuple):
+    """One stretch of text under both tokenizers: the number of A tokens, the groups as ``a1,a2|b1;a3|b2``, and the linked
+    pairs as packed 32-bit codes, one for each link. Each place where a token ends closes one link, so there are as many
+    links as tokens less groups."""
 
     n_a: int
-    n_b: int
-    n_groups: int
     groups: str
     links: bytes
 
+    @property
+    def n_links(self) -> int:
+        return len(self.links) // 4
+
+    @property
+    def n_groups(self) -> int:
+        return self.groups.count(";") + 1
+
+    @property
+    def n_b(self) -> int:
+        return self.n_links + self.n_groups - self.n_a
+
 
 class Aligner:
     """Both tokenizers, and the words that this worker has aligned."""
@@ -82,6 +93,9 @@ class Aligner:
             for i, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))
         ]
         self.width = size_a
+        self.sizes_a, self.sizes_b = np.array(list(map(len, self.bytes_a))), np.array(list(map(len, self.bytes_b)))
+        names = [str(i) for i in range(max(size_a, len(self.bytes_b)))]
+        self.inner, self.last_a, self.last_b = (np.array([n + x for n in names], object) for x in ",|;")
         # Whether words can be aligned by themselves: see above.
         form = json.loads(self.a.to_str())
         by_words = form["normalizer"] is None and form["pre_tokenizer"] | {"trim_offsets": None} == BYTE_LEVEL
@@ -90,94 +104,86 @@ class Aligner:
             raise ValueError("the vocabularies have too many pairs for 32-bit codes")
         self.known: dict[str, Aligned | None] = {}
 
-    def spans(self, text: str) -> tuple[list[int], list[int], list[bytes], list[bytes]]:
-        """Ids and bytes of the tokens of ``text`` behind a space, by either tokenizer."""
-        a = self.a.encode(" " + text, add_special_tokens=False).ids
-        b = self.b.encode(text)
-        return a, b, [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-
     def align(self, text: str) -> Aligned | None:
         """The alignment of a whole text or word; None if the tokens' bytes are not those of space and text."""
-        a, b, bytes_a, bytes_b = self.spans(text)
-        whole = (" " + text).encode("utf-8", "surrogatepass")
-        if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+        found = self._parts([text])
+        return found[0] if found else None
+
+    def _parts(self, words: list[str]) -> list[Aligned] | None:
+        """The alignment of each word where all are encoded in one go; None if that does not come out even."""
+        joined = " ".join(words)
+        a, b = self.a.encode(" " + joined, add_special_tokens=False).ids, self.b.encode(joined)
+        whole = (" " + joined).encode("utf-8", "surrogatepass")
+        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
             return None
-        return self._walk(a, b, list(map(len, bytes_a)), list(map(len, bytes_b)))
-
-    def _walk(self, a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> Aligned:
-        groups, links, width = [], [], self.width
-        i = j = first_i = first_j = 0
-        end_a, end_b = sizes_a[0], sizes_b[0]
-        while True:
-            links.append(b[j] * width + a[i])
-            if end_a == end_b:
-                left, right = ",".join(map(str, a[first_i : i + 1])), ",".join(map(str, b[first_j : j + 1]))
-                groups.append(f"{left}|{right}")
-                i, j = i + 1, j + 1
-                first_i, first_j = i, j
-                if i == len(a):
-                    break
-                end_a += sizes_a[i]
-                end_b += sizes_b[j]
-            elif end_a < end_b:
-                i += 1
-                end_a += sizes_a[i]
-            else:
-                j += 1
-                end_b += sizes_b[j]
-        return Aligned(len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int32).tobytes())
+        a, b = np.array(a), np.array(b)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words])
+        cut_a, cut_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        if (ends_a[cut_a] != ends).any() or (ends_b[cut_b] != ends).any():
+            return None
+        # Wherever a token ends, one link ends: that of the two tokens that cover the place.
+        sorted_ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        twice = sorted_ends[1:] == sorted_ends[:-1]
+        either, both = sorted_ends[np.append(True, ~twice)], sorted_ends[1:][twice]
+        links = b[np.searchsorted(ends_b, either)] * self.width + a[np.searchsorted(ends_a, either)]
+        packed = links.astype(np.int32).tobytes()
+        cut_links = (4 * (np.searchsorted(either, ends) + 1)).tolist()
+        # Each id with what follows it, those of a group side by side, A before B.
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        said = np.concatenate(
+            [
+                np.where(both[group_a] == ends_a, self.last_a[a], self.inner[a]),
+                np.where(both[group_b] == ends_b, self.last_b[b], self.inner[b]),
+            ]
+        )
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        said = said[order].tolist()
+        cut_said = (cut_a + cut_b + 2).tolist()
+        n_a = np.diff(cut_a, prepend=-1).tolist()
+        found, from_said, from_links = [], 0, 0
+        for n, to_said, to_links in zip(n_a, cut_said, cut_links, strict=True):
+            found.append(Aligned(n, "".join(said[from_said:to_said])[:-1], packed[from_links:to_links]))
+            from_said, from_links = to_said, to_links
+        return found
 
     def learn(self, words: list[str]) -> None:
         """Align new words: all in one go, and one by one those that only the end of a text may have."""
         if len(self.known) + len(words) > WORDS:
             self.known.clear()
-        last = [w for w in words if open_end(w)]
-        self.known.update((w, self.align(w)) for w in last)
-        if words := [w for w in words if not open_end(w)]:
-            self._learn_together(words)
-
-    def _learn_together(self, words: list[str]) -> None:
-        a, b, bytes_a, bytes_b = self.spans(" ".join(words))
-        lengths = [len(w.encode("utf-8", "surrogatepass")) + 1 for w in words]
-        ends = np.cumsum(lengths)
-        sizes_a, sizes_b = list(map(len, bytes_a)), list(map(len, bytes_b))
-        ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
-        whole = (" " + " ".join(words)).encode("utf-8", "surrogatepass")
-        if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
-            self.known.update((w, self.align(w)) for w in words)
-            return
-        cut_a, cut_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
-        if (ends_a[cut_a - 1] != ends).any() or (ends_b[cut_b - 1] != ends).any():
-            self.known.update((w, self.align(w)) for w in words)
-            return
-        from_a = from_b = 0
-        for word, to_a, to_b in zip(words, cut_a.tolist(), cut_b.tolist(), strict=True):
-            self.known[word] = self._walk(
-                a[from_a:to_a], b[from_b:to_b], sizes_a[from_a:to_a], sizes_b[from_b:to_b]
-            )
-            from_a, from_b = to_a, to_b
+        together = [w for w in words if not open_end(w)]
+        found = self._parts(together) if together else []
+        if found is None:
+            found = [self.align(w) for w in together]
+        self.known.update(zip(together, found, strict=True))
+        self.known.update((w, self.align(w)) for w in words if open_end(w))
 
     def texts(self, texts: list[str]) -> list[Aligned | None]:
         """The alignment of each text; None for an empty one and where the bytes differ."""
         cut = [(words(t) if self.cuts else [t]) if t else [] for t in texts]
-        new = list({w: None for own in cut for w in own if w not in self.known and 0 < len(w) <= LONGEST})
+        found = set().union(*cut)
+        new = [w for w in found.difference(self.known) if len(w) <= LONGEST]
+        if len(self.known) + len(new) > WORDS:  # the memory will be emptied: learn all words of these texts
+            new = [w for w in found if len(w) <= LONGEST]
         if new:
-            if len(self.known) + len(new) > WORDS:  # the memory will be emptied: learn all words of these texts
-                new = list({w: None for own in cut for w in own if 0 < len(w) <= LONGEST})
             self.learn(new)
-        return [self._joined([self.known[w] if len(w) <= LONGEST else self.align(w) for w in own]) for own in cut]
+        long = {w: self.align(w) for w in found if len(w) > LONGEST}
+        self.known.update(long)
+        joined = [self._joined(list(map(self.known.__getitem__, own))) for own in cut]
+        for w in long:
+            del self.known[w]
+        return joined
 
     @staticmethod
     def _joined(parts: list[Aligned | None]) -> Aligned | None:
         if not parts or None in parts:
             return None
-        return Aligned(
-            sum([p.n_a for p in parts]),
-            sum([p.n_b for p in parts]),
-            sum([p.n_groups for p in parts]),
-            ";".join([p.groups for p in parts]),
-            b"".join([p.links for p in parts]),
-        )
+        n_a, groups, links = zip(*parts, strict=True)
+        return Aligned(sum(n_a), ";".join(groups), b"".join(links))
+
+
+#: A space that no text may be cut before, at least not plainly.
+UNEVEN = re.compile(rf"\A |[\s{SPACE}] | \Z")
 
 
 def open_end(word: str) -> bool:
@@ -189,7 +195,7 @@ def words(text: str) -> list[str]:
     """Cut at each space that follows something else than white space or ``SPACE``, unless nothing follows it. The words, with
     a space between each two, are the text again, and none is empty."""
     found = text.split(" ")
-    if not any([open_end(w) for w in found]):
+    if not UNEVEN.search(text):
         return found
     out, held = [], None
     for i, w in enumerate(found):
@@ -227,6 +233,13 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts or [np.zeros(0, np.int32)])))
 
 
+def _counted(links: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of a text's links, in order, and how often each occurs."""
+    codes = np.sort(np.frombuffer(links, np.int32))
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    return codes[first], np.diff(first, append=len(codes))
+
+
 def _measure(paths: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(*paths)
@@ -236,14 +249,14 @@ def _measure(paths: tuple[str, str]):
             # Texts without tokens have no row: their measures are zero.
             rows = [i for i, f in enumerate(found) if f is not None]
             aligned = [found[i] for i in rows]
-            counted = [np.unique(np.frombuffer(f.links, np.int32), return_counts=True) for f in aligned]
+            counted = [_counted(f.links) for f in aligned]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("text_digest", "copies")),
                     pa.array([f.n_a for f in aligned], pa.int64()),
                     pa.array([f.n_b for f in aligned], pa.int64()),
                     pa.array([f.n_groups for f in aligned], pa.int64()),
-                    pa.array([len(f.links) // 4 for f in aligned], pa.int64()),
+                    pa.array([f.n_links for f in aligned], pa.int64()),
                     pa.array([hashlib.sha256(f.groups.encode()).hexdigest() for f in aligned], pa.string()),
                     _lists([p for p, _ in counted]),
                     _lists([n.astype(np.int32) for _, n in counted]),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from souk.llm import similar
 from souk.llm.components import components
-from souk.llm.frames import fresh, keyed, shuffle_width, stage
+from souk.llm.frames import fresh, keyed, scope, shuffle_width, stage
 
 SEED = 42
 BITS = 64
@@ -266,9 +266,10 @@ def first_of_each_group(
     A group without any id keeps one of its rows too, that of the smallest hash of its text; so does one whose smallest id
     has several texts. Of rows with the same id and text one stays. All columns are kept.
     """
-    groups = _grouped(docs, id_col, text_col, shingle_words, max_distance, similarity)
-    chosen = groups.filter(F.col("id").eqNullSafe(F.col("group"))).groupBy("root")
-    firsts = stage(chosen.agg(F.min("id").alias("first_id"), F.min("version").alias("first_version")).drop("root"))
+    with scope(docs.sparkSession, keep_last=True):
+        groups = _grouped(docs, id_col, text_col, shingle_words, max_distance, similarity)
+        chosen = groups.filter(F.col("id").eqNullSafe(F.col("group"))).groupBy("root")
+        firsts = stage(chosen.agg(F.min("id").alias("first_id"), F.min("version").alias("first_version")).drop("root"))
     version = fresh(docs.columns, "version")
     own = docs.withColumn(version, version_of(F.col(text_col)))
     # Rows with and without id apart, so that each join is on plain equality and the last step needs no shuffle of its own.

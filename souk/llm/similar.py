@@ -4,9 +4,10 @@ Fingerprints of such texts differ in a dozen of 64 bits, too many to be filed un
 the shingle sets are filed instead, ``ROWS`` of them to a band: two texts with similarity s share one of ``BANDS`` bands with
 probability 1 - (1 - s ** ROWS) ** BANDS, 0.9996 at 0.8. Every link is verified on the sets themselves.
 
-In each file the members are compared with a centre, and with another one in the next round, as long as that joins groups;
-what is left of pairs of different groups in one file is then compared pair by pair. So a large group of copies costs
-some pairs a member, not all pairs.
+Sets that share files, directly or through others, form a cluster, in which all pairs are looked at. So a set is sent to one
+cluster, however many files it is in, and no pair is ever written: a task gets a cluster, or two chunks of a large one, counts
+the shared shingles of all pairs in one matrix, and returns a spanning forest of the links. A cluster of n sets
+costs about n / ``CHUNK`` copies of each of its sets.
 """
 
 from __future__ import annotations
@@ -20,13 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.components import components
-from souk.llm.frames import stage
+from souk.llm.frames import scope, shuffle_width, stage
 
 SEED = 42
 WORDS = 5
 BANDS, ROWS = 20, 5
-#: Rounds of centres at most.
-ROUNDS = 8
+#: Sets in a chunk of a cluster, and their shingles, about; a set with more is a chunk of its own.
+CHUNK = 1 << 10
+CHUNK_SHINGLES = 1 << 19
+#: Shingles in more sets of a task than this are counted by a matrix product, so many at a time; others pair by pair.
+OFTEN = 24
+COLUMNS = 1 << 11
 #: Shingles whose signatures are computed at a time.
 AT_ONCE = 1 << 11
 _FACTORS = np.array([xxhash.xxh64_intdigest(f"factor {i}".encode(), SEED) | 1 for i in range(BANDS * ROWS)], np.uint64)
@@ -62,40 +67,101 @@ def same_set(hashes: np.ndarray) -> int:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingle_set(t.as_py()).view(np.int64) for t in batch.column("text")]
-        columns = [batch.column("same"), pa.array(found, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["same", "shingles"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, fa, b, fb) that are as similar."""
-    left = sets.select(F.col("same").alias("a"), F.col("shingles").alias("x"), F.col("n").alias("nx"))
-    right = sets.select(F.col("same").alias("b"), F.col("shingles").alias("y"), F.col("n").alias("ny"))
-    both = pairs.join(left, "a").join(right, "b")
-    both = both.filter(F.least("nx", "ny") / F.greatest("nx", "ny") >= similarity)
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(shared / (F.col("nx") + F.col("ny") - shared) >= similarity).select("fa", "fb")
-
-
-def _pairs(members: DataFrame, roots: DataFrame, turn: int | None) -> DataFrame:
-    """(a, fa, b, fb): pairs of shingle sets of different groups that share a file; those with the file's centre in this
-    ``turn``, or all (None)."""
-    rooted = members.join(roots, members["fp"] == roots["node"], "left")
-    rooted = stage(rooted.select("key", "same", "fp", F.coalesce("root", "fp").alias("root")))
-    drawn = F.struct(F.xxhash64("same", F.lit(turn or 0)).alias("order"), "same", "fp", "root")
-    mixed = rooted.groupBy("key").agg(F.min(drawn).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = mixed.filter("lo <> hi")
-    if turn is None:
-        other = rooted.join(mixed.select("key"), "key", "left_semi").select("key", "same", "fp", "root")
-    else:
-        other = mixed.select("key", "c.same", "c.fp", "c.root")
-    both = rooted.join(other.toDF("key", "s", "f", "r"), "key").filter("root <> r")
-    first = F.col("same") < F.col("s")
-    return both.select(
-        F.least("same", "s").alias("a"),
-        F.when(first, F.col("fp")).otherwise(F.col("f")).alias("fa"),
-        F.greatest("same", "s").alias("b"),
-        F.when(first, F.col("f")).otherwise(F.col("fp")).alias("fb"),
-    ).distinct()
+        columns = [batch.column("same"), batch.column("fp"), pa.array(found, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["same", "fp", "shingles"])
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    shingles = np.concatenate(sets) if m else np.zeros(0, np.int64)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], owner[order]
+    first = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1])) if len(shingles) else np.zeros(0, np.int64)
+    counts = np.diff(first, append=len(shingles))
+    column = np.repeat(np.arange(len(first)), counts)
+    shared = np.zeros((m, m), np.float32)
+    often = np.flatnonzero(counts > OFTEN)
+    for at in range(0, len(often), COLUMNS):
+        chosen = often[at : at + COLUMNS]
+        place = np.full(len(first), -1)
+        place[chosen] = np.arange(len(chosen))
+        rows = np.flatnonzero(place[column] >= 0)
+        held = np.zeros((m, len(chosen)), np.float32)
+        held[owner[rows], place[column[rows]]] = 1
+        shared += held @ held.T
+    flat = shared.reshape(-1)
+    rare = np.flatnonzero(counts[column] <= OFTEN) if len(first) else np.zeros(0, np.int64)
+    for step in range(1, OFTEN):
+        rare = rare[rare + step < len(column)]
+        rare = rare[column[rare] == column[rare + step]]
+        if not rare.size:
+            break
+        np.add.at(flat, owner[rare] * m + owner[rare + step], np.float32(1))
+        np.add.at(flat, owner[rare + step] * m + owner[rare], np.float32(1))
+    return shared.astype(np.int64)
+
+
+def linked_in(sets: list[np.ndarray], part: np.ndarray, similarity: float) -> np.ndarray:
+    """The least place that each set reaches through links of ``similarity`` or more.
+
+    Sets of part 1 are compared with those of part 2 only, sets of part 0 with all.
+    """
+    sizes = np.array([len(s) for s in sets])
+    shared = shared_counts(sets)
+    either = np.maximum(sizes[:, None] + sizes[None, :] - shared, 1)
+    linked = (shared / either >= similarity) & ((part == 0)[:, None] | (part[:, None] != part[None, :]))
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(linked, label[None, :], len(sets)).min(1)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _compare(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, prints, part, sets = None, [], [], []
+
+        def out() -> pa.RecordBatch:
+            label = linked_in(sets, np.array(part), similarity)
+            moved = [i for i, x in enumerate(label.tolist()) if x != i]
+            ends = [[prints[i] for i in moved], [prints[label[i]] for i in moved]]
+            return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], ["a", "b"])
+
+        for batch in batches:
+            shingles = batch.column("shingles")
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")), strict=True)):
+                if key != task:
+                    if len(sets) > 1:
+                        yield out()
+                    task, prints, part, sets = key, [], [], []
+                prints.append(batch.column("fp")[i].as_py())
+                part.append(batch.column("part")[i].as_py())
+                sets.append(shingles[i].values.to_numpy())
+        if len(sets) > 1:
+            yield out()
+
+    return run
+
+
+def _dealt(sets: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(root, i, j, part, fp, shingles): each set once for every pair of chunks of its cluster that it takes part in."""
+    placed = sets.join(clusters, sets["same"] == clusters["node"])
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("held"))
+    sizes = sizes.select("root", F.ceil(F.greatest(F.col("n") / CHUNK, F.col("held") / CHUNK_SHINGLES)).alias("chunks"))
+    placed = placed.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("same", F.lit("chunk")), F.col("chunks")))
+    # Chunk i meets chunk j >= i once: a set of chunk c goes to (c, j) for all j >= c and to (i, c) for i < c.
+    place = lambda x: F.struct(
+        F.least("own", x).alias("i"),
+        F.greatest("own", x).alias("j"),
+        F.when(x == F.col("own"), 0).when(x > F.col("own"), 1).otherwise(2).alias("part"),
+    )
+    chunks = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
+    return placed.withColumn("to", F.explode(F.transform(chunks, place))).select("root", "to.*", "fp", "shingles")
 
 
 def similar_roots(prints: DataFrame, texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
@@ -103,29 +169,19 @@ def similar_roots(prints: DataFrame, texts: DataFrame, links: DataFrame, similar
 
     ``prints`` has a row (version, fp, same, bands) per document, ``texts`` (version, text).
     """
-    firsts = stage(prints.groupBy("same").agg(F.min("fp").alias("fp"), F.min("version").alias("version")))
-    equal = prints.select("same", F.col("fp").alias("b")).distinct().join(firsts, "same")
-    links = stage(links.unionByName(equal.select(F.col("fp").alias("a"), "b").filter("a <> b")))
-    roots = stage(components(links))
-
-    entries = stage(prints.select("same", F.explode("bands").alias("key")).distinct())
-    files = stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"))
-    members = stage(entries.join(files, "key").join(firsts, "same"))
-    chosen = texts.join(members.select("version", "same").distinct(), "version").dropDuplicates(["same"])
-    hashed = chosen.select("same", "text").mapInArrow(_sets, "same long, shingles array<long>")
-    sets = stage(hashed.withColumn("n", F.size("shingles")))
-
-    tried, turn = None, 0
-    while True:
-        pairs = _pairs(members, roots, turn)
-        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        found = stage(_verified(pairs, sets, similarity))
-        joined = not found.isEmpty()
-        if joined:
-            links = links.unionByName(found.toDF("a", "b"))
-            roots = stage(components(links))
-        if turn is None:
-            return roots
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        # A round that joins nothing, or the last one, is followed by all pairs that are left.
-        turn = turn + 1 if joined and turn + 1 < ROUNDS else None
+    spark = prints.sparkSession
+    with scope(spark, keep_last=True):
+        firsts = stage(prints.groupBy("same").agg(F.min("fp").alias("fp"), F.min("version").alias("version")))
+        equal = prints.select("same", F.col("fp").alias("b")).distinct().join(firsts, "same")
+        links = links.unionByName(equal.select(F.col("fp").alias("a"), "b").filter("a <> b"))
+
+        entries = stage(prints.select("same", F.explode("bands").alias("key")).distinct())
+        files = entries.groupBy("key").agg(F.min("same").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        clusters = stage(components(entries.join(files, "key").select("same", "least").filter("same <> least")))
+        chosen = firsts.join(clusters, firsts["same"] == clusters["node"], "left_semi")
+        # Of the rows that hold a chosen text one is enough.
+        own = texts.join(chosen, "version").dropDuplicates(["same"]).select("same", "fp", "text")
+        sets = stage(own.mapInArrow(_sets, "same long, fp long, shingles array<long>"))
+        dealt = _dealt(sets, clusters).repartition(shuffle_width(prints), "root", "i", "j")
+        found = dealt.sortWithinPartitions("root", "i", "j").mapInArrow(_compare(similarity), "a long, b long")
+        return stage(components(links.unionByName(found)))

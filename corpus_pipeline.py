@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm import bpe, line_runs, mixing, quality, simhash
-from souk.llm.frames import stage
+from souk.llm.frames import scope, stage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Tables written on the way are deleted but for the one that the last stage reads."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, function) in enumerate(STAGES, 1):
-        docs = function(spark, docs, sf_dir)
-        if number < len(STAGES):
-            docs = stage(docs)
-    return docs
+    with scope(spark, keep_last=True):
+        for _, function in STAGES[:-1]:
+            with scope(spark, keep_last=True):
+                docs = stage(function(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

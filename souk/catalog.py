@@ -15,7 +15,7 @@ from souk.functions.dates import with_calendar
 from souk.functions.measures import mean_of_ratios
 from souk.models import churn as churn_models
 from souk.models import evaluation, results, reviews, segments
-from souk.operators import distribution, quality
+from souk.operators import distribution, inference, quality
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage
@@ -32,7 +32,6 @@ CONVERSION_RATE = 5140.0
 LOOKUP_CUSTOMER = 42
 AFTER_CUSTOMER = {"monetary": 1_000_000, CUSTOMER: 0}
 CUSTOMER_SCORES = ("recency", "frequency", "monetary", "rfm_score")
-GIVEN_RESULT = results.result("Churn_Prediction", {"Formula": {"accuracy": 0.75, "auc_roc": 0.5}}, "Formula")
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -122,6 +121,23 @@ class Shop:
 
     # Models
 
+    @cached_property
+    def formula_scores(self) -> dict[str, dict[str, float]]:
+        """The composite risk as a classifier of customers who did not buy for 90 days: a scorer that SQL can follow."""
+        scored = churn.with_risk(self.features).drop("label")
+        predictions = scored.select(
+            (F.col("recency") > 90).cast("double").alias("label"),
+            (F.col("risk") > 0.5).cast("double").alias("prediction"),
+            F.round("risk", 6).alias("rawPrediction"),
+        )
+        return {"RiskFormula": evaluation.classification_scores(predictions)}
+
+    @cached_property
+    def formula_records(self) -> DataFrame:
+        """Its figures as the record of a model family."""
+        found = results.result("Churn_Prediction", self.formula_scores, "RiskFormula")
+        return results.records(self.spark, [found])
+
     @cached_property
     def segment_rows(self) -> DataFrame:
         return segments.kmeans_input(self.scored)
@@ -208,6 +224,11 @@ def _contracted(s: Shop) -> dict:
     return {name: (df, CONTRACTS[name]) for name, df in s.tables.items()}
 
 
+def inferred_schema(s: Shop) -> DataFrame:
+    """The tables as raw files hold them, all text, with the types that can be read off the values."""
+    return inference.inferred_schema({name: (inference.as_text(df), c) for name, (df, c) in _contracted(s).items()})
+
+
 def dq_duplicate_keys(s: Shop) -> DataFrame:
     parts = [
         quality.duplicate_keys(df, contract.key).select(F.lit(name).alias("table_name"), "key_count", "duplicate_keys")
@@ -333,7 +354,7 @@ def revenue_converted(s: Shop) -> DataFrame:
 
 def aggregations_union(s: Shop) -> DataFrame:
     """Five summaries of the same orders: the columns they use are written once and read five times."""
-    return documents.aggregations_union(s.written, s.customers, results.records(s.spark, [GIVEN_RESULT]))
+    return documents.aggregations_union(s.written, s.customers, s.formula_records)
 
 
 def monetary_winsorised(s: Shop) -> DataFrame:
@@ -349,19 +370,8 @@ def stratified_split(s: Shop) -> DataFrame:
 # Models
 
 
-def formula_predictions(s: Shop) -> DataFrame:
-    """The composite risk as a classifier of customers who did not buy for 90 days: a scorer that SQL can follow."""
-    scored = churn.with_risk(s.features).drop("label")
-    return scored.select(
-        (F.col("recency") > 90).cast("double").alias("label"),
-        (F.col("risk") > 0.5).cast("double").alias("prediction"),
-        F.round("risk", 6).alias("rawPrediction"),
-    )
-
-
 def formula_metrics(s: Shop) -> DataFrame:
-    found = evaluation.classification_scores(formula_predictions(s))
-    return evaluation.metrics_table(s.spark, {"RiskFormula": found})
+    return evaluation.metrics_table(s.spark, s.formula_scores)
 
 
 def category_mean_metrics(s: Shop) -> DataFrame:
@@ -377,9 +387,10 @@ def confusion_totals(s: Shop) -> DataFrame:
     return s.boosted.confusion(s.labelled).groupBy("label").agg(F.sum("row_count").alias("row_count"))
 
 
-def model_table_given(s: Shop) -> DataFrame:
-    table = results.model_table(results.records(s.spark, [GIVEN_RESULT]))
-    return table.select("name", "is_regression", "accuracy", "auc", "rmse")
+def model_table_formula(s: Shop) -> DataFrame:
+    """The model page's row of the composite risk, whose figures SQL can compute too."""
+    table = results.model_table(s.formula_records)
+    return table.select("name", "is_regression", "accuracy", "precision", "recall", "f1", "auc", "rmse")
 
 
 def churn_scored_v2(s: Shop) -> DataFrame:
@@ -404,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "dq_table_profile": lambda s: quality.table_profile(dict(s.tables.items())),
     "dq_null_counts": lambda s: quality.null_counts(_contracted(s)),
     "dq_null_profile": lambda s: quality.null_profile(s.merged),
+    "inferred_schema": inferred_schema,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_verdict": dq_verdict,
     "dq_contract_orders": dq_contract_orders,
@@ -536,7 +548,7 @@ QUERIES: dict[str, Query] = {
     "category_mean_metrics": category_mean_metrics,
     "confusion_totals": confusion_totals,
     "model_or_formula_scores": lambda s: churn_models.served(s.customers, s.boosted),
-    "model_table_given": model_table_given,
+    "model_table_formula": model_table_formula,
     "confusion_matrix": lambda s: s.boosted.confusion(s.labelled),
     "feature_importance": lambda s: s.boosted.importance(s.labelled),
     "churn_rf": single_model("forest", "legacy"),

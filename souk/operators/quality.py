@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.measures import percent, rows, rows_where
 from souk.functions.text import is_blank
+from souk.operators.inference import broken_counts
 from souk.sources.contracts import TableContract
 
 
@@ -95,11 +96,13 @@ def table_report(
         F.map_from_entries(
             F.array(*(F.struct(F.lit(c), rows_where(_missing(c, True))) for c in present))
         ).alias("null_counts"),
+        broken_counts(df, contract).alias("broken_counts"),
     )
     no_duplicates = F.lit(0).cast("long")
     duplicates = df.agg(_duplicates(contract.key, False)).scalar() if has_key else no_duplicates
     lost = rejected.agg(rows()).scalar() if rejected is not None else F.lit(0).cast("long")
     facts = facts.withColumns({"duplicate_keys": duplicates, "rejected_rows": lost})
+    broken = F.aggregate(F.map_values("broken_counts"), F.lit(0).cast("long"), lambda acc, n: acc + n)
     errors = [
         F.lit(f"missing required columns: {', '.join(missing)}" if missing else None),
         F.when(F.col("row_count") == 0, "table is empty"),
@@ -107,6 +110,7 @@ def table_report(
             F.col("rejected_rows") > 0,
             F.concat(F.col("rejected_rows").cast("string"), F.lit(" rows do not fit their header")),
         ),
+        F.when(broken > 0, F.concat(broken.cast("string"), F.lit(" values do not parse"))),
         F.when(
             F.col("duplicate_keys") > 0,
             F.concat(F.col("duplicate_keys").cast("string"), F.lit(f" duplicate values in {', '.join(contract.key)}")),
@@ -118,6 +122,7 @@ def table_report(
         F.lit(len(df.columns)).alias("column_count"),
         F.lit(missing).cast("array<string>").alias("missing_columns"),
         F.map_filter("null_counts", lambda _, n: n > 0).alias("null_counts"),
+        F.map_filter("broken_counts", lambda _, n: n > 0).alias("broken_counts"),
         "duplicate_keys",
         "rejected_rows",
         F.array_compact(F.array(*(e.cast("string") for e in errors))).alias("errors"),
@@ -132,6 +137,7 @@ def absent_report(spark: SparkSession, name: str) -> DataFrame:
         F.lit(0).alias("column_count"),
         F.array().cast("array<string>").alias("missing_columns"),
         F.create_map().cast("map<string,bigint>").alias("null_counts"),
+        F.create_map().cast("map<string,bigint>").alias("broken_counts"),
         F.lit(0).cast("long").alias("duplicate_keys"),
         F.lit(0).cast("long").alias("rejected_rows"),
         F.array(F.lit("source not found")).alias("errors"),

@@ -459,6 +459,107 @@ def _verdict(table: str) -> str:
                {duplicates} = 0 and count(*) > 0 valid from {TABLES[table][0]}"""
 
 
+# The figures of the composite risk as a classifier, in the order of a model record.
+FIGURES = {
+    "accuracy": "round(accuracy, 4)",
+    "precision": "round(share1 * p1 + share0 * p0, 4)",
+    "recall": "round(share1 * r1 + share0 * r0, 4)",
+    "f1_score": "round(share1 * coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0)"
+    " + share0 * coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0), 4)",
+    "auc_roc": "round(area, 4)",
+}
+
+
+def json_figures() -> str:
+    return " || ',' || ".join(f"""'"{name}":' || cast({figure} as varchar)""" for name, figure in FIGURES.items())
+
+
+def _raw(relation_columns: str, moments: str = "", renamed: dict | None = None, **kinds: str) -> dict:
+    """Columns of a raw table with the text that stands for them and their contract types, strings if not named."""
+    out = {}
+    for c in relation_columns.split():
+        source = (renamed or {}).get(c, c)
+        moment = c in moments.split()
+        text = f"strftime({source}, '%Y-%m-%d %H:%M:%S')" if moment else f"cast({source} as varchar)"
+        out[c] = (text, "timestamp" if moment else kinds.get(c, "string"))
+    return out
+
+
+ORDER_MOMENTS = (
+    "order_purchase_timestamp order_approved_at order_delivered_carrier_date order_delivered_customer_date "
+    "order_estimated_delivery_date"
+)
+MEASURED = {
+    f"product_{m}": "int"
+    for m in ("name_lenght", "description_lenght", "photos_qty", "weight_g", "length_cm", "height_cm", "width_cm")
+}
+MONEY = "decimal(12,2)"
+RAW_COLUMNS = {
+    "orders": _raw(f"order_id customer_id order_status {ORDER_MOMENTS}", ORDER_MOMENTS),
+    "order_items": _raw(
+        "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+        "shipping_limit_date",
+        {"order_item_id": "line.line", "shipping_limit_date": "shipped_at"},
+        order_item_id="int",
+        price=MONEY,
+        freight_value=MONEY,
+    ),
+    "payments": _raw(
+        "order_id payment_sequential payment_type payment_installments payment_value",
+        renamed={"payment_sequential": "line.line"},
+        payment_sequential="int",
+        payment_installments="int",
+        payment_value=MONEY,
+    ),
+    "reviews": _raw(
+        "review_id order_id review_score review_comment_title review_comment_message review_creation_date "
+        "review_answer_timestamp",
+        "review_creation_date review_answer_timestamp",
+        {
+            "review_id": "order_id || '-' || line.line",
+            "review_comment_title": "'flag ' || flag",
+            "review_comment_message": "'part ' || product_id || ' from ' || seller_id",
+            "review_creation_date": "shipped_at",
+            "review_answer_timestamp": "shipped_at",
+        },
+        review_score="int",
+    ),
+    "customers": _raw("customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"),
+    "products": _raw(f"product_id product_category_name {' '.join(MEASURED)}", **MEASURED),
+    "sellers": _raw("seller_id seller_zip_code_prefix seller_city seller_state"),
+    "category_translation": _raw("product_category_name product_category_name_english"),
+}
+
+
+def _inferred(table: str, column: str, text: str, contract: str) -> str:
+    """One row of the inferred schema; the bits are those of whole, long, decimal, double, moment and text values."""
+    parses = {"string": "true", "timestamp": "try_strptime(v, '%Y-%m-%d %H:%M:%S') is not null"}
+    return f"""
+        select '{table}' table_name, '{column}' column_name,
+               case when kinds & 32 > 0 or (kinds & 16 > 0 and kinds & 15 > 0) then 'string' when kinds & 16 > 0 then 'timestamp'
+                    when kinds & 8 > 0 then 'double'
+                    when kinds & 4 > 0 then case when wide + deep > 38 then 'double'
+                        else 'decimal(' || greatest(wide + deep, 1) || ',' || deep || ')' end
+                    when kinds & 2 > 0 then 'bigint' when kinds & 1 > 0 then 'int' else 'void' end inferred_type,
+               '{contract}' contract_type, row_count,
+               coalesce(round(cast(empty as double) / nullif(row_count, 0) * 100, 2), 0) null_pct, broken_values
+        from (select coalesce(bit_or(kind), 0) kinds, coalesce(max(wide) filter (kind in (1, 2, 4)), 0) wide,
+                     coalesce(max(deep) filter (kind in (1, 2, 4)), 0) deep, count(*) row_count,
+                     count(*) filter (coalesce(v, '') = '') empty,
+                     count(*) filter (v <> '' and not ({parses.get(contract, f"try_cast(v as {contract}) is not null")}))
+                         broken_values
+              from (select *, case when coalesce(v, '') = '' then 0
+                           when regexp_matches(v, '^[+-]?[0-9]+$') then case when try_cast(v as integer) is not null then 1
+                               when try_cast(v as bigint) is not null then 2 when wide <= 38 then 4 else 8 end
+                           when regexp_matches(v, '^[+-]?[0-9]*[.][0-9]+$') then case when wide + deep <= 38 then 4 else 8 end
+                           when regexp_matches(v, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{{1,3}})?$') then 8
+                           when coalesce(try_strptime(v, '%Y-%m-%d %H:%M:%S'), try_strptime(v, '%Y-%m-%d')) is not null then 16
+                           else 32 end kind
+                    from (select v, length(regexp_replace(v, '^[+-]?0*|[.].*$', '', 'g')) wide,
+                                 length(regexp_extract(v, '[.]([0-9]+)$', 1)) deep
+                          from (select trim({text}) v from {TABLES[table][0]}))))"""
+
+
 def union(parts) -> str:
     return " union all ".join(parts)
 
@@ -672,9 +773,9 @@ QUERIES = {
                       cast(round(sum(total_payment_value), 2) as double) total_revenue, 'hourly_orders' agg_type
                from silver group by purchase_dayofweek, purchase_hour""",
             "select * exclude (avg_review_score), 'payment_methods' agg_type from methods",
-            """select 'Churn_Prediction' model_name, 'Formula' best_model,
-                      '{"best_model":"Formula","models":{"Formula":{"accuracy":0.75,"auc_roc":0.5}}}' metrics_json,
-                      'model_performance' agg_type""",
+            f"""select 'Churn_Prediction' model_name, 'RiskFormula' best_model,
+                      '{{"best_model":"RiskFormula","models":{{"RiskFormula":{{' || {json_figures()} || '}}}}}}' metrics_json,
+                      'model_performance' agg_type from guess_scores, guess_area""",
             "select *, 'segment_stats' agg_type from seg_stats",
         )
     ),
@@ -820,8 +921,11 @@ QUERIES = {
         select label, count(*) row_count from labelled
         where cast('0x' || substr(md5(cast(customer_unique_id as varchar)), 1, 8) as bigint) % 100 >= 80
         group by label""",
-    "model_table_given": """
-        select 'Formula *' as name, false is_regression, 0.75e0 accuracy, 0.5e0 auc, cast(null as double) rmse""",
+    "model_table_formula": f"""
+        select 'RiskFormula *' as name, false is_regression, {FIGURES['accuracy']} accuracy, {FIGURES['precision']} "precision",
+               {FIGURES['recall']} recall, {FIGURES['f1_score']} f1, {FIGURES['auc_roc']} auc, cast(null as double) rmse
+        from guess_scores, guess_area""",
+    "inferred_schema": union(_inferred(t, c, x, k) for t, columns in RAW_COLUMNS.items() for c, (x, k) in columns.items()),
     "rfm_fraction_sample": f"""
         select * replace ({iso(*CUSTOMER_DATES)}, {dbl('monetary')}) from scored
         where cast('0x' || substr(md5(cast(customer_unique_id as varchar)), 1, 8) as bigint) % 1000000

@@ -16,7 +16,7 @@ from souk.models import evaluation, results, segments
 from souk.operators import quality
 from souk.operators.staging import scope, stage
 from souk.plans import churn, documents, reports, rfm, silver
-from souk.sources import lake, raw_csv
+from souk.sources import lake, ledger, raw_csv
 from souk.sources.contracts import CONTRACTS
 from souk.sources.tables import from_bronze
 
@@ -46,16 +46,18 @@ class Layout:
 
 
 def ingest(spark: SparkSession, raw: Mapping[str, str], layout: Layout) -> DataFrame:
-    """Land every raw table that exists and write the manifest. A table that breaks its contract still lands.
+    """Land what is new or changed of every raw table that exists, and write the manifest. A table that breaks its
+    contract still lands.
 
-    Checks read the landed Parquet, so the one-task-per-file CSV parse happens once.
+    Checks read the landed Parquet, so the one-task-per-file CSV parse happens once for each state of a file.
     """
     rows = []
     for name, path in raw.items():
         if raw_csv.exists(spark, path):
-            landed = spark.read.parquet(raw_csv.land(spark, name, path, layout.bronze))
-            checked = landed.drop(raw_csv.SOURCE_FILE, raw_csv.INGESTED_AT)
-            rejected = spark.read.parquet(raw_csv.rejects_path(name, layout.bronze))
+            ledger.land_changed(spark, name, path, layout.bronze)
+            landed = raw_csv.landed(spark, name, layout.bronze)
+            checked = landed.drop(raw_csv.SOURCE_FILE, raw_csv.INGESTED_AT, raw_csv.FILE_KEY)
+            rejected = raw_csv.landed(spark, name, layout.bronze, rejects=True)
             rows.append(quality.table_report(name, checked, CONTRACTS[name], rejected))
         else:
             rows.append(quality.absent_report(spark, name))

@@ -4,23 +4,29 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from souk.functions.dates import TIMESTAMP_FORMAT, parse_timestamp
+from souk.functions.parsing import parsed as parsed_as
 from souk.operators.staging import scope, stage
 from souk.sources.contracts import CONTRACTS, FOLDERS, TableContract
 
-SOURCE_FILE, INGESTED_AT, REJECTED = "_source_file", "_ingested_at", "_rejected"
+SOURCE_FILE, INGESTED_AT, REJECTED, FILE_KEY = "_source_file", "_ingested_at", "_rejected", "_file_key"
 
 
-def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
-    """The column names in the first line of each CSV file below ``path``. A file without any text has none.
+def file_key() -> Column:
+    """A name for the file that a row comes from, fit for a folder; never read as a number."""
+    return F.concat(F.lit("f"), F.md5(F.col("_metadata.file_path")))
+
+
+def headers(spark: SparkSession, path: str, only: Collection[str] | None = None) -> dict[str, tuple[str, ...]]:
+    """The column names in the first line of each CSV file below ``path``, or of those in ``only``. A file without any
+    text has none.
 
     One open and one line per file, as Spark itself does for Parquet footers.
     """
@@ -28,6 +34,8 @@ def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
     java, conf = context._jvm.java.io, context._jsc.hadoopConfiguration()
     found = {}
     for row in spark.read.format("binaryFile").load(path).select("path").collect():
+        if only is not None and row["path"] not in only:
+            continue
         place = context._jvm.org.apache.hadoop.fs.Path(row["path"])
         reader = java.BufferedReader(java.InputStreamReader(place.getFileSystem(conf).open(place), "UTF-8"))
         try:
@@ -38,19 +46,22 @@ def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
     return {place: names for place, names in found.items() if names}
 
 
-def parse(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
+def parse(
+    spark: SparkSession, path: str, free_text: bool = True, only: Collection[str] | None = None, keyed: bool = False
+) -> DataFrame:
     """Every row of the CSV files below ``path``, each file read by its own header, all columns as text.
 
     A row with more or fewer fields than its header has stands in ``_rejected`` as it came; for all others that column
-    is NULL. Columns that a file does not have are NULL.
+    is NULL. Columns that a file does not have are NULL. ``only`` names the files to read (all without it); ``keyed``
+    adds the key of each row's file.
 
     Free text may hold newlines, which ``multiLine`` keeps inside their row at the price of one task per file. Only
     tables with free text pay it, and only once: they are landed as Parquet (``land``), which later reads split.
     """
     files: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for place, names in sorted(headers(spark, path).items()):
+    for place, names in sorted(headers(spark, path, only).items()):
         files[names].append(place)
-    parts = []
+    parts, place_key = [], {FILE_KEY: file_key()} if keyed else {}
     for names, places in files.items():
         fields = [StructField(n, StringType()) for n in (*names, REJECTED)]
         parts.append(
@@ -64,10 +75,11 @@ def parse(spark: SparkSession, path: str, free_text: bool = True) -> DataFrame:
             .csv(places)
             # Spark refuses plans that read this column alone, so it also depends on another, in a way that is always true.
             .withColumn(REJECTED, F.when(F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0, F.col(REJECTED)))
-            .withColumn(SOURCE_FILE, F.input_file_name())
+            .withColumns({SOURCE_FILE: F.input_file_name(), **place_key})
         )
     if not parts:
-        return spark.createDataFrame([], f"{REJECTED} string, {SOURCE_FILE} string")
+        empty = spark.createDataFrame([], f"{REJECTED} string, {SOURCE_FILE} string")
+        return empty.withColumns({c: F.lit("") for c in place_key})
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -82,15 +94,6 @@ def rejected_rows(spark: SparkSession, path: str, free_text: bool = True) -> Dat
     return bad.select(SOURCE_FILE, F.col(REJECTED).alias("record"))
 
 
-def _typed(column: str, target: DataType) -> Column:
-    text = F.col(column)
-    if isinstance(target, StringType):
-        return text
-    if isinstance(target, TimestampType):
-        return parse_timestamp(text, TIMESTAMP_FORMAT)
-    return text.try_cast(target)
-
-
 def apply_contract(raw: DataFrame, contract: TableContract) -> DataFrame:
     """Type the columns of a contract by name; a value that does not parse becomes NULL.
 
@@ -101,7 +104,7 @@ def apply_contract(raw: DataFrame, contract: TableContract) -> DataFrame:
         raise ValueError(f"{contract.name}: missing required columns {missing}")
     return raw.select(
         *(
-            (_typed(f.name, f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            (parsed_as(F.col(f.name), f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in contract.schema.fields
         )
     )
@@ -147,7 +150,19 @@ def rejects_path(name: str, bronze_root: str) -> str:
 
 
 def read_bronze(spark: SparkSession, name: str, bronze_root: str) -> DataFrame:
-    return apply_contract(spark.read.parquet(table_paths(bronze_root)[name]), CONTRACTS[name])
+    return apply_contract(landed(spark, name, bronze_root), CONTRACTS[name])
+
+
+def landed(spark: SparkSession, name: str, bronze_root: str, rejects: bool = False) -> DataFrame:
+    """A landed table as text, or the rows set aside; without any row, a table with the contract's columns."""
+    path = rejects_path(name, bronze_root) if rejects else table_paths(bronze_root)[name]
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)  # batches may have other columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    names = (SOURCE_FILE, "record") if rejects else (*CONTRACTS[name].schema.names, SOURCE_FILE)
+    return spark.createDataFrame([], StructType([StructField(n, StringType()) for n in names]))
 
 
 def exists(spark: SparkSession, path: str, fmt: str = "csv") -> bool:

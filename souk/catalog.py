@@ -18,8 +18,8 @@ from souk.models import evaluation, results, reviews, segments
 from souk.operators import distribution, inference, quality
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
-from souk.operators.staging import stage
-from souk.plans import churn, dashboard, documents, reports, rfm, silver
+from souk.operators.staging import stage, staged_path
+from souk.plans import churn, dashboard, documents, reports, rfm, silver, upkeep
 from souk.plans.rfm import CUSTOMER
 from souk.sources import star
 from souk.sources.contracts import CONTRACTS
@@ -122,15 +122,18 @@ class Shop:
     # Models
 
     @cached_property
-    def formula_scores(self) -> dict[str, dict[str, float]]:
+    def formula_predictions(self) -> DataFrame:
         """The composite risk as a classifier of customers who did not buy for 90 days: a scorer that SQL can follow."""
         scored = churn.with_risk(self.features).drop("label")
-        predictions = scored.select(
+        return scored.select(
             (F.col("recency") > 90).cast("double").alias("label"),
             (F.col("risk") > 0.5).cast("double").alias("prediction"),
             F.round("risk", 6).alias("rawPrediction"),
         )
-        return {"RiskFormula": evaluation.classification_scores(predictions)}
+
+    @cached_property
+    def formula_scores(self) -> dict[str, dict[str, float]]:
+        return {"RiskFormula": evaluation.classification_scores(self.formula_predictions)}
 
     @cached_property
     def formula_records(self) -> DataFrame:
@@ -387,6 +390,24 @@ def confusion_totals(s: Shop) -> DataFrame:
     return s.boosted.confusion(s.labelled).groupBy("label").agg(F.sum("row_count").alias("row_count"))
 
 
+def formula_auc(s: Shop) -> DataFrame:
+    area = evaluation.rank_area(s.formula_predictions)
+    return area.withColumn("auc", F.round("auc", 9))
+
+
+def refreshed_silver(s: Shop) -> DataFrame:
+    """The silver table built without every other order bought in 1999 or later, then
+    brought up to date with it: equal to the table built at once, and older months keep their files."""
+    late = s.tables.orders.filter(F.col("order_purchase_timestamp") >= F.lit("1999-01-01").cast("timestamp_ntz"))
+    odd = late.select("order_id").filter(F.col("order_id") % 2 == 1)
+    path = staged_path(s.spark)
+    early = {name: getattr(s.tables, name).join(odd, "order_id", "left_anti") for name in upkeep.BY_ORDER}
+    upkeep.write_by_month(silver.silver_orders(replace(s.tables, **early)), path)
+    upkeep.refresh(s.spark, s.tables, path, odd)
+    orders = upkeep.read_by_month(s.spark, path)
+    return orders.select("order_id", "purchase_year_month", "total_items", "total_payment_value", "review_score", "order_value")
+
+
 def model_table_formula(s: Shop) -> DataFrame:
     """The model page's row of the composite risk, whose figures SQL can compute too."""
     table = results.model_table(s.formula_records)
@@ -416,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "dq_null_counts": lambda s: quality.null_counts(_contracted(s)),
     "dq_null_profile": lambda s: quality.null_profile(s.merged),
     "inferred_schema": inferred_schema,
+    "refreshed_silver": refreshed_silver,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_verdict": dq_verdict,
     "dq_contract_orders": dq_contract_orders,
@@ -548,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "category_mean_metrics": category_mean_metrics,
     "confusion_totals": confusion_totals,
     "model_or_formula_scores": lambda s: churn_models.served(s.customers, s.boosted),
+    "formula_auc": formula_auc,
     "model_table_formula": model_table_formula,
     "confusion_matrix": lambda s: s.boosted.confusion(s.labelled),
     "feature_importance": lambda s: s.boosted.importance(s.labelled),

@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from souk.functions.measures import rows
+from souk.functions.measures import rows, rows_where
+from souk.operators.ordering import asc
+from souk.operators.ranking import PART_SHIFT, ROW_ID, range_sorted
 
 METRIC_SCHEMA = "model string, metric string, value double"
 
@@ -53,6 +55,34 @@ def classification_scores(predictions: DataFrame) -> dict[str, float]:
     return {name: round(value, 4) for name, value in ({"auc_roc": area} | weighted_scores(cells)).items()}
 
 
+def rank_area(predictions: DataFrame, score: str = "rawPrediction") -> DataFrame:
+    """(rows_scored, positives, auc): the area under the ROC curve as a rank sum, ties counting half.
+
+    Equal scores are merged, the others sorted over all partitions; each partition counts the negatives below its
+    rows itself and gets those of the partitions before it from one row per partition. Sums are exact. NULL if a class
+    is empty.
+    """
+    one = F.col("label") == 1
+    counted = predictions.groupBy(score).agg(rows_where(one).alias("ones"), rows_where(~one).alias("zeros"))
+    ordered = range_sorted(counted, [asc(score)]).withColumn("part", F.shiftright(ROW_ID, PART_SHIFT))
+    totals = ordered.groupBy("part").agg(F.sum("zeros").alias("zeros")).orderBy("part").collect()
+    starts, below = [], 0
+    for row in totals:
+        starts.append((row["part"], below))
+        below += row["zeros"]
+    offsets = F.broadcast(predictions.sparkSession.createDataFrame(starts, "part long, offset long"))
+    before = Window.partitionBy("part").orderBy(ROW_ID).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ordered.withColumn("inside", F.coalesce(F.sum("zeros").over(before), F.lit(0))).join(offsets, "part")
+    twice = 2 * (F.col("offset") + F.col("inside")) + F.col("zeros")
+    sums = ranked.agg(
+        F.coalesce(F.sum(F.col("ones") + F.col("zeros")), F.lit(0)).cast("long").alias("rows_scored"),
+        F.coalesce(F.sum("ones"), F.lit(0)).cast("long").alias("positives"),
+        F.sum(F.col("ones").cast("decimal(19,0)") * twice.cast("decimal(19,0)")).alias("won"),
+    )
+    pairs = F.col("positives").cast("double") * (F.col("rows_scored") - F.col("positives"))
+    return sums.select("rows_scored", "positives", F.try_divide(F.col("won").cast("double"), 2 * pairs).alias("auc"))
+
+
 def regression_scores(predictions: DataFrame, label: str) -> dict[str, float]:
     evaluator = RegressionEvaluator(labelCol=label)
     return {

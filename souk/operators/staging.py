@@ -45,11 +45,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[-1].name
 
 
+def staged_path(spark: SparkSession) -> str:
+    """A new folder name that is deleted with the staged tables."""
+    path = f"{shared_folder(spark).rstrip('/')}/souk-{uuid.uuid4().hex}"
+    _paths().append(path)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once, write it, and return the written table."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/souk-{uuid.uuid4().hex}"
-    _paths().append(path)
+    path = staged_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

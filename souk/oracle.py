@@ -921,6 +921,12 @@ QUERIES = {
         select label, count(*) row_count from labelled
         where cast('0x' || substr(md5(cast(customer_unique_id as varchar)), 1, 8) as bigint) % 100 >= 80
         group by label""",
+    "formula_auc": """
+        select (select count(*) from guesses) rows_scored, (select cast(sum(label) as bigint) from guesses) positives,
+               round(area, 9) auc from guess_area""",
+    "refreshed_silver": """
+        select order_id, purchase_year_month, total_items, cast(total_payment_value as double) total_payment_value,
+               review_score, cast(order_value as double) order_value from silver""",
     "model_table_formula": f"""
         select 'RiskFormula *' as name, false is_regression, {FIGURES['accuracy']} accuracy, {FIGURES['precision']} "precision",
                {FIGURES['recall']} recall, {FIGURES['f1_score']} f1, {FIGURES['auc_roc']} auc, cast(null as double) rmse

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from souk.models import churn as churn_models
 from souk.models import evaluation, results, segments
 from souk.operators import quality
 from souk.operators.staging import scope, stage
-from souk.plans import churn, documents, reports, rfm, silver
+from souk.plans import churn, documents, reports, rfm, silver, upkeep
 from souk.sources import lake, ledger, raw_csv
 from souk.sources.contracts import CONTRACTS
 from souk.sources.tables import from_bronze
@@ -38,6 +40,10 @@ class Layout:
     def silver_orders(self) -> str:
         return self.at("silver", "merged_orders")
 
+    @property
+    def orders_base(self) -> str:
+        return self.at("silver", "orders_base")
+
     def gold(self, name: str) -> str:
         return self.at("gold", name)
 
@@ -70,15 +76,53 @@ def ingest(spark: SparkSession, raw: Mapping[str, str], layout: Layout) -> DataF
 
 def build_silver(spark: SparkSession, layout: Layout) -> int:
     """Customer scores first, then the order table that carries them."""
-    orders = silver.silver_orders(from_bronze(spark, layout.bronze))
-    base = layout.at("silver", "orders_base")
-    lake.write(orders, base)
-    written = lake.read(spark, base)
+    upkeep.write_by_month(silver.silver_orders(from_bronze(spark, layout.bronze)), layout.orders_base)
+    return score_silver(spark, layout)
+
+
+def score_silver(spark: SparkSession, layout: Layout) -> int:
+    """Scores of all customers, which move with the last purchase date, and the order table with them."""
+    written = upkeep.read_by_month(spark, layout.orders_base)
     lake.write(rfm.rfm_scores(written), layout.gold("rfm_customers"))
     scored = lake.read(spark, layout.gold("rfm_customers"))
     return lake.write(rfm.orders_with_rfm(written, scored), layout.silver_orders)
 
 
+def update(spark: SparkSession, raw: Mapping[str, str], layout: Layout) -> list[str] | None:
+    """Land changed files and rebuild only the months of the orders in them; returns these months.
+
+    A change in customers, products, sellers or translations may concern any order, so then, and where there is no silver
+    table yet, everything is built and None returned.
+    """
+    there = {name: path for name, path in raw.items() if raw_csv.exists(spark, path)}
+    changed = {name: ledger.changed_keys(spark, name, path, layout.bronze) for name, path in there.items()}
+    lookups = set(CONTRACTS) - set(upkeep.BY_ORDER) - {"geolocation"}
+    fresh = not raw_csv.exists(spark, layout.orders_base, "parquet")
+    if fresh or any(changed.get(name) for name in lookups):
+        ingest(spark, raw, layout)
+        build_silver(spark, layout)
+        return None
+
+    def ids() -> DataFrame | None:
+        parts = [
+            raw_csv.landed(spark, name, layout.bronze).filter(F.col(raw_csv.FILE_KEY).isin(changed[name])).select("order_id")
+            for name in upkeep.BY_ORDER
+            if changed.get(name)
+        ]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    with scope(spark):
+        before = ids()
+        if before is None:
+            ingest(spark, raw, layout)
+            return []
+        before = stage(before.distinct())  # the files are replaced below
+        ingest(spark, raw, layout)
+        months = upkeep.refresh(spark, from_bronze(spark, layout.bronze), layout.orders_base, before.unionByName(ids()))
+        score_silver(spark, layout)
+    return months
+
+
 def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Segments, churn scores of all customers, and the metrics of both models."""
     orders = lake.read(spark, layout.silver_orders)

@@ -54,6 +54,13 @@ def verify(spark: SparkSession, path: str, expected: int | None = None) -> int:
     return found
 
 
+def delete(spark: SparkSession, folders: Iterable[str]) -> None:
+    context = spark.sparkContext
+    for folder in folders:
+        place = context._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _portable(value: Column, kind: DataType) -> Column:
     if isinstance(kind, TimestampType | TimestampNTZType):
         return F.date_format(value, ISO_FORMAT)

@@ -9,7 +9,6 @@ twice replaces its folder with the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,11 +45,16 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
-    context = spark.sparkContext
-    for folder in folders:
-        place = context._jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+def changed_keys(spark: SparkSession, name: str, path: str, bronze_root: str) -> list[str]:
+    """Keys of the files that the next run would parse or remove."""
+    before = lake.read_optional(spark, ledger_path(name, bronze_root))
+    now = listing(spark, path)
+    if before is None:
+        return [r[FILE_KEY] for r in now.select(FILE_KEY).collect()]
+    same = ["path", *FACTS]
+    fresh = now.join(before.select(*same), same, "left_anti").select(FILE_KEY)
+    gone = before.join(now, FILE_KEY, "left_anti").select(FILE_KEY)
+    return sorted(r[FILE_KEY] for r in fresh.unionByName(gone).collect())
 
 
 def _write(df: DataFrame, path: str, whole: bool) -> None:
@@ -101,9 +105,9 @@ def land_changed(spark: SparkSession, name: str, path: str, bronze_root: str) ->
             # A changed file that has no more rows of one sort must not keep its old ones.
             for table, column in ((target, "row_count"), (rejects, "rejected_rows")):
                 none = added.filter(F.col(column) == 0).select(FILE_KEY).collect()
-                _delete(spark, (f"{table}/{FILE_KEY}={r[FILE_KEY]}" for r in none))
+                lake.delete(spark, (f"{table}/{FILE_KEY}={r[FILE_KEY]}" for r in none))
             kept = added if kept is None else kept.select(*ENTRY).unionByName(added)
-        _delete(spark, (f"{table}/{FILE_KEY}={r[FILE_KEY]}" for table in (target, rejects) for r in gone))
+        lake.delete(spark, (f"{table}/{FILE_KEY}={r[FILE_KEY]}" for table in (target, rejects) for r in gone))
         entries = stage(kept.select(*ENTRY))  # the ledger is read by what replaces it
         if places or gone or before is None:
             entries.write.mode("overwrite").parquet(book)

@@ -42,6 +42,8 @@ LONGEST = 40
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
+TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
+ENDS = frozenset(".!?\n")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -74,44 +76,61 @@ class Model:
     constant: float | None = None
     known: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False, compare=False)
 
+    def __post_init__(self) -> None:
+        self.listed = self.weights.tolist()
+        self.openings = frozenset(f.removeprefix("=")[:3] for f in self.vocabulary)
+
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": {}}
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> tuple[int, ...]:
         """Numbers of the features of a word, remembered by each worker."""
-        found = self.known.get(word)
-        if found is None:
+        found: tuple[int, ...] = ()
+        if word[:3] in self.openings:
             found = tuple(i for f in features_of(word) if (i := self.vocabulary.get(f)) is not None)
-            if len(word) <= LONGEST:
-                if len(self.known) >= WORDS:
-                    self.known.clear()
-                self.known[word] = found
+        if len(word) <= LONGEST:
+            if len(self.known) >= WORDS:
+                self.known.clear()
+            self.known[word] = found
         return found
 
-    def active(self, text: str) -> tuple[int, list[tuple[int, int, list[int]]]]:
-        """Number of sentences, and (start, end, features) of those that hold any feature. A feature counts once."""
-        marked = {w for w in set(words_of(text)) if self.word(w)}
-        spans = sentences(text)
-        if not marked:
-            return len(spans), []
-        found = []
-        for a, b in spans:
-            own = {i for w in words_of(text[a:b]) if w in marked for i in self.word(w)}
-            if own:
-                found.append((a, b, sorted(own)))
-        return len(spans), found
-
-    def score(self, text: str) -> tuple[float, list[tuple[int, int, float]], int]:
-        """The document's probability, (start, end, probability) of its sentences with features, and how many
+    def active(self, text: str) -> tuple[int, list[tuple[int, list[int]]]]:
+        """Number of sentences, and (number, features) of those that hold any feature. A feature counts once."""
+        n, spoken, own = 0, False, set()
+        found, known = [], self.known.get
+        for token in TOKEN.findall(text.lower()):
+            features = known(token)
+            if features:
+                spoken = True
+                own.update(features)
+            elif features is not None:
+                spoken = True
+            elif token in ENDS:
+                if spoken:
+                    if own:
+                        found.append((n, sorted(own)))
+                        own = set()
+                    n, spoken = n + 1, False
+            else:
+                spoken = True
+                own.update(self._word(token))
+        if own:
+            found.append((n, sorted(own)))
+        return n + spoken, found
+
+    def score(self, text: str) -> tuple[float, list[tuple[int, float]], int]:
+        """The document's probability, (number, probability) of its sentences with features, and how many
         sentences there are. A text without words has probability 0."""
         n, found = self.active(text)
         if self.constant is not None:
             return self.constant, [], n
-        logits = np.array([self.weights[own].sum() for *_, own in found]) + self.bias
-        scored = _sigmoid(logits)
-        rest = n - len(found)
-        clean = np.log1p(-np.minimum(scored, 1 - 1e-12)).sum() + rest * math.log1p(-float(_sigmoid(np.float64(self.bias))))
-        return -math.expm1(clean), [(a, b, float(p)) for (a, b, _), p in zip(found, scored, strict=True)], n
+        plain = 1 / (1 + math.exp(-self.bias))
+        clean, scored, weights = (n - len(found)) * math.log1p(-plain), [], self.listed
+        for i, own in found:
+            p = 1 / (1 + math.exp(-max(-60.0, min(60.0, sum([weights[f] for f in own]) + self.bias))))
+            clean += math.log1p(-min(p, 1 - 1e-12))
+            scored.append((i, p))
+        return -math.expm1(clean), scored, n
 
 
 def learnable(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
@@ -135,8 +154,13 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches_by_bytes(batches, "text", BATCH_BYTES):
         ones: Counter[str] = Counter()
         zeros: Counter[str] = Counter()
+        parts: dict[str, list[str]] = {}
         for text, o, z in zip(*(batch.column(c).to_pylist() for c in ("text", "ones", "zeros")), strict=True):
-            own = {f for w in set(words_of(text)) for f in features_of(w)}
+            own: set[str] = set()
+            for w in set(words_of(text)):
+                if w not in parts:
+                    parts[w] = features_of(w)
+                own.update(parts[w])
             for counts, times in ((ones, o), (zeros, z)):
                 if times == 1:
                     counts.update(own)
@@ -188,8 +212,8 @@ def _examples(model: Model):
                 batch.column("ones"),
                 batch.column("zeros"),
                 pa.array([n for n, _ in found], pa.int64()),
-                pa.array([[len(own) for *_, own in s] for _, s in found], pa.list_(pa.int32())),
-                pa.array([[i for *_, own in s for i in own] for _, s in found], pa.list_(pa.int32())),
+                pa.array([[len(own) for _, own in s] for _, s in found], pa.list_(pa.int32())),
+                pa.array([[i for _, own in s for i in own] for _, s in found], pa.list_(pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["ones", "zeros", "n", "lengths", "features"])
 
@@ -308,8 +332,13 @@ def scored_texts(
                 score, found, n = model.score(text)
                 scores.append(score)
                 counts.append(n)
+                offending = [(i, p) for i, p in found if p >= threshold]
+                places = sentences(text) if offending else []
                 spans.append(
-                    [{"start": a, "end": b, "score": p, "sentence": text[a:b]} for a, b, p in found if p >= threshold]
+                    [
+                        {"start": a, "end": b, "score": p, "sentence": text[a:b]}
+                        for (a, b), p in ((places[i], p) for i, p in offending)
+                    ]
                 )
             columns = [batch.column("id"), pa.array(scores, pa.float64()), pa.array(counts, pa.int32())]
             columns.append(pa.array(spans, pa.list_(_SPAN)))

@@ -55,10 +55,13 @@ def test_score_is_noisy_or_of_the_sentences():
     model = toxicity.Model({"=grumblefink": 0, "=dog": 1}, np.array([5.0, 1.0]), -3.0)
     score, found, n = model.score(BAD)
     p = lambda x: 1 / (1 + np.exp(-x))
-    assert n == 3 and [BAD[a:b].strip() for a, b, _ in found] == ["You grumblefink of a dog"]
+    places = toxicity.sentences(BAD)
+    assert n == len(places) == 3 and [i for i, _ in found] == [1]
+    assert BAD[slice(*places[1])].strip() == "You grumblefink of a dog" and found[0][1] == pytest.approx(p(3.0))
     assert score == pytest.approx(1 - (1 - p(3.0)) * (1 - p(-3.0)) ** 2)
     assert model.score("") == (0.0, [], 0) and model.score(" 12 .. \n")[0] == 0.0
-    assert model.score("İ GRUMBLEFINK")[1][0][:2] == (0, 13)
+    assert [i for i, _ in model.score(" 1. İ!? .\nGRUMBLEFINK\ndog x.. grumblefink")[1]] == [1, 2, 3]
+    assert [i for i, _ in model.score("x\n\n dog")[1]] == [1]
 
 
 def test_held_out_labels_are_predicted(spark):

@@ -19,7 +19,7 @@ from souk.operators import distribution, inference, quality
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage, staged_path
-from souk.plans import churn, dashboard, documents, reports, rfm, silver, upkeep
+from souk.plans import churn, dashboard, documents, reports, rfm, silver, sketches, upkeep
 from souk.plans.rfm import CUSTOMER
 from souk.sources import star
 from souk.sources.contracts import CONTRACTS
@@ -119,6 +119,11 @@ class Shop:
     def products(self) -> DataFrame:
         return documents.product_documents(self.written, self.tables)
 
+    @cached_property
+    def sketched(self) -> DataFrame:
+        """The sketches by month and state as a written table, as gold keeps them."""
+        return stage(sketches.month_state_sketches(self.orders))
+
     # Models
 
     @cached_property
@@ -513,6 +518,9 @@ QUERIES: dict[str, Query] = {
     "gold_payment": lambda s: documents.gold_payment(s.orders),
     "segment_stats": lambda s: documents.segment_stats(s.customers),
     "aggregations_union": aggregations_union,
+    "sketched_customers": lambda s: sketches.checked_customers(s.orders, s.sketched),
+    "sketched_returning": lambda s: sketches.checked_returning(s.orders, s.sketched),
+    "sketched_percentiles": lambda s: sketches.checked_percentiles(s.orders, s.sketched),
     # dashboard
     "kpi_overview": kpi_overview,
     "revenue_series_order_value": lambda s: dashboard.revenue_series(s.orders),

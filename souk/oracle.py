@@ -921,6 +921,21 @@ QUERIES = {
         select label, count(*) row_count from labelled
         where cast('0x' || substr(md5(cast(customer_unique_id as varchar)), 1, 8) as bigint) % 100 >= 80
         group by label""",
+    "sketched_customers": """
+        select 'month' "level", purchase_year_month as name, count(distinct customer_unique_id) unique_customers,
+               true within_bound from silver group by purchase_year_month
+        union all select 'state', customer_state, count(distinct customer_unique_id), true from silver group by customer_state
+        union all select 'all', 'all', count(distinct customer_unique_id), true from silver""",
+    "sketched_returning": """
+        select purchase_year_month, (select count(*) from (select distinct customer_unique_id from silver a
+                   where a.purchase_year_month = m.purchase_year_month and a.customer_unique_id in
+                       (select customer_unique_id from silver b where b.purchase_year_month = m.previous))) returning_customers,
+               true within_bound
+        from (select purchase_year_month, lag(purchase_year_month) over (order by purchase_year_month) previous
+              from (select distinct purchase_year_month from silver)) m where previous is not null""",
+    "sketched_percentiles": """
+        select customer_state, point, count(*) orders, true within_bound
+        from silver, (select unnest([0.25e0, 0.5e0, 0.75e0]) point) group by customer_state, point""",
     "formula_auc": """
         select (select count(*) from guesses) rows_scored, (select cast(sum(label) as bigint) from guesses) positives,
                round(area, 9) auc from guess_area""",

@@ -133,10 +133,11 @@ def pack(
 
     ``nodes``: node, depth, role, text (formatted), start and end in the emitted stream, position (id of the
     first token), loss_start and loss_end (inside the text; equal if nothing is learnt), attends (stretches of the
-    stream, its own excepted) and conversations (how many share it). ``paths``: conv_id, depth, node.
+    stream, its own excepted) and conversations (how many share it). ``paths``: conv_id, leaf (a number for each
+    conversation), depth, node.
     Rows are ordered by turn, then role and text; repeated rows are turns of their own. Null roles and texts
-    count as empty, a null turn comes first, rows without conversation id form one conversation. An empty table gives
-    empty results. Other columns are ignored.
+    count as empty, a null turn comes first. Each row without conversation id is a conversation of one turn, so that no
+    task gathers them. An empty table gives empty results. Other columns are ignored.
     """
     turns = conversations.select(
         F.col(conv_col).alias("conv_id"),
@@ -146,16 +147,18 @@ def pack(
             F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         ).alias("t"),
     )
-    gathered = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    named = turns.filter(F.col("conv_id").isNotNull()).groupBy("conv_id")
+    gathered = named.agg(F.sort_array(F.collect_list("t")).alias("turns")).unionByName(
+        turns.filter(F.col("conv_id").isNull()).select("conv_id", F.array("t").alias("turns"))
+    )
     step = "node binary, role string, text string, position long, loss_start long, loss_end long"
-    laid = stage(gathered.mapInArrow(_lay_out, f"conv_id {dict(turns.dtypes)['conv_id']}, path array<struct<{step}>>"))
+    laid = gathered.mapInArrow(_lay_out, f"conv_id {dict(turns.dtypes)['conv_id']}, path array<struct<{step}>>")
+    laid = stage(laid.withColumn("row", F.monotonically_increasing_id()))
 
     # Ordered by their paths, the conversations below a node lie side by side.
-    leaves = range_sorted(laid.select("conv_id", F.col("path.node").alias("key")), [asc("key"), asc("conv_id")])
-    numbered = laid.join(
-        leaves.select(F.col("conv_id").alias("_c"), F.col(ROW_ID).alias("leaf")),
-        F.col("conv_id").eqNullSafe(F.col("_c")),
-    )
+    keyed = laid.select("row", "conv_id", F.col("path.node").alias("key"))
+    leaves = range_sorted(keyed, [asc("key"), asc("conv_id"), asc("row")])
+    numbered = laid.join(leaves.select("row", F.col(ROW_ID).alias("leaf")), "row")
     steps = numbered.select("conv_id", "leaf", F.posexplode("path").alias("depth", "step"))
     paths = stage(steps.select("conv_id", "depth", F.col("step.node").alias("node"), "leaf"))
     first = paths.groupBy("node").agg(
@@ -189,7 +192,7 @@ def pack(
     )
     attends = steps_of.mapInArrow(_ancestors, "node binary, attends array<struct<start:long,end:long>>")
     nodes = placed.join(attends, "node").drop("first_leaf")
-    return Packed(nodes, paths.select("conv_id", "depth", "node"))
+    return Packed(nodes, paths.select("conv_id", "leaf", "depth", "node"))
 
 
 def _sha(text: str) -> str:
@@ -219,8 +222,9 @@ def read_back(packed: Packed) -> DataFrame:
     texts = packed.nodes.select("node", "text", "loss_start", "loss_end")
     parts = (
         packed.paths.join(texts, "node")
-        .groupBy("conv_id")
+        .groupBy("leaf", "conv_id")
         .agg(F.sort_array(F.collect_list(F.struct("depth", "text", "loss_start", "loss_end"))).alias("parts"))
+        .drop("leaf")
     )
     kind = dict(packed.paths.dtypes)["conv_id"]
     return parts.mapInArrow(

@@ -19,7 +19,7 @@ from souk.operators import distribution, inference, quality
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage, staged_path
-from souk.plans import churn, dashboard, documents, reports, rfm, silver, sketches, upkeep
+from souk.plans import churn, colocated, dashboard, documents, reports, rfm, silver, sketches, upkeep
 from souk.plans.rfm import CUSTOMER
 from souk.sources import star
 from souk.sources.contracts import CONTRACTS
@@ -323,6 +323,14 @@ def purchase_calendar(s: Shop) -> DataFrame:
     return s.purchases.select("order_id", *(f"purchase_{f}" for f in fields))
 
 
+def colocated_orders(s: Shop) -> DataFrame:
+    """The wide order row from tables written in buckets of the order id."""
+    root = staged_path(s.spark)
+    n_buckets = int(s.spark.conf.get("spark.sql.shuffle.partitions"))
+    colocated.write(s.tables, root, n_buckets)
+    return colocated.merged_orders(colocated.read(s.spark, root, n_buckets))
+
+
 def parse_timestamps(s: Shop) -> DataFrame:
     """Timestamps read from text; every tenth text is not a date and becomes NULL."""
     at = F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
@@ -462,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "items_enriched": lambda s: silver.items_enriched(s.tables),
     "dedup_orders": dedup_orders,
     "merged_orders": lambda s: s.merged,
+    "colocated_orders": colocated_orders,
     "clean_orders": lambda s: silver.clean_orders(s.merged),
     "order_features": order_features,
     "purchase_calendar": purchase_calendar,

@@ -617,6 +617,7 @@ QUERIES = {
     "items_enriched": f"select * replace ({iso('shipping_limit_date')}, {dbl('price', 'freight_value')}) from items",
     "dedup_orders": f"select order_id, customer_id, order_status, {iso('order_purchase_timestamp')} from raw_orders",
     "merged_orders": f"{WIDE} merged",
+    "colocated_orders": f"{WIDE} merged",
     "clean_orders": f"{WIDE} cleaned",
     "order_features": """
         select order_id, delivery_days, estimated_vs_actual, freight_ratio, cast(order_value as double) order_value,

@@ -28,6 +28,7 @@ from souk.sources.tables import Tables
 PURCHASE_ORDER = ("order_purchase_timestamp", "customer_id", "order_status")
 ITEM_ORDER = ("order_item_id", "product_id", "seller_id")
 PRODUCT_AVERAGES = ("weight_g", "length_cm", "height_cm", "width_cm", "photos_qty")
+AVERAGED = tuple(f"product_{p}" for p in PRODUCT_AVERAGES)
 
 # What a missing value becomes in the clean table.
 NUMBER_DEFAULTS = {
@@ -191,41 +192,52 @@ def customers_per_order(tables: Tables) -> DataFrame:
     return joined.groupBy("order_id").agg(kept).select("order_id", *(f"kept.{c}" for c in columns))
 
 
-def items_per_order_once(tables: Tables) -> DataFrame:
-    """The same columns as ``items_per_order`` from two scans of the items: one joined with products and sellers for
-    all sums and the first item, one for the distinct counts."""
-    averaged = [f"product_{p}" for p in PRODUCT_AVERAGES]
-    products = tables.products.select("product_id", "product_category_name", *averaged)
+#: Columns of an order's first item that the order carries.
+CARRIED = {
+    "main_category_english": "product_category_name_english",
+    "main_category": "product_category_name",
+    "seller_city": "seller_city",
+    "seller_state": "seller_state",
+}
+
+
+def items_with_facts(tables: Tables) -> DataFrame:
+    """Items with what an order's row needs of their product and seller."""
+    products = tables.products.select("product_id", "product_category_name", *AVERAGED)
     items = tables.order_items.select("order_id", *ITEM_ORDER, "price", "freight_value")
-    found = items.join(translated_products(products, tables.category_translation), "product_id", "left").join(
+    return items.join(translated_products(products, tables.category_translation), "product_id", "left").join(
         seller_places(tables.sellers).drop("seller_zip_code_prefix"), "seller_id", "left"
     )
-    carried = {
-        "main_category_english": "product_category_name_english",
-        "main_category": "product_category_name",
-        "seller_city": "seller_city",
-        "seller_state": "seller_state",
-    }
-    first = F.min(F.struct(*nulls_last(ITEM_ORDER), *carried.values())).alias("first")
-    sums = found.groupBy("order_id").agg(
+
+
+def facts_per_order(facts: DataFrame, varieties: DataFrame) -> DataFrame:
+    """The columns of ``items_per_order`` from items with facts and from the distinct counts per order."""
+    first = F.min(F.struct(*nulls_last(ITEM_ORDER), *CARRIED.values())).alias("first")
+    sums = facts.groupBy("order_id").agg(
         rows().alias("total_items"),
         F.sum("price").alias("total_price"),
         F.sum("freight_value").alias("total_freight_value"),
-        *(mean(n).alias(f"avg_{n}") for n in averaged),
+        *(mean(n).alias(f"avg_{n}") for n in AVERAGED),
         first,
     )
-    return sums.join(item_varieties(tables.order_items), "order_id", "left").select(
+    return sums.join(varieties, "order_id", "left").select(
         "order_id",
         "total_items",
         "total_price",
         "total_freight_value",
         "unique_products",
         "unique_sellers",
-        *(F.col("first").getField(c).alias(name) for name, c in carried.items()),
-        *(f"avg_{n}" for n in averaged),
+        *(F.col("first").getField(c).alias(name) for name, c in CARRIED.items()),
+        *(f"avg_{n}" for n in AVERAGED),
     )
 
 
+def items_per_order_once(tables: Tables) -> DataFrame:
+    """The same columns as ``items_per_order`` from two scans of the items: one joined with products and sellers for
+    all sums and the first item, one for the distinct counts."""
+    return facts_per_order(items_with_facts(tables), item_varieties(tables.order_items))
+
+
 def orders_with_customers(tables: Tables) -> DataFrame:
     """One row per order, as ``dedup_orders`` keeps it, with the columns of its customer."""
     joined = tables.orders.join(tables.customers, "customer_id", "left")

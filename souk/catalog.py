@@ -19,7 +19,7 @@ from souk.operators import distribution, inference, quality
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage, staged_path
-from souk.plans import churn, colocated, dashboard, documents, reports, rfm, silver, sketches, upkeep
+from souk.plans import churn, collection, colocated, dashboard, documents, reports, rfm, silver, sketches, upkeep
 from souk.plans.rfm import CUSTOMER
 from souk.sources import star
 from souk.sources.contracts import CONTRACTS
@@ -373,6 +373,33 @@ def aggregations_union(s: Shop) -> DataFrame:
     return documents.aggregations_union(s.written, s.customers, s.formula_records)
 
 
+def aggregation_documents(s: Shop) -> DataFrame:
+    """The same summaries as documents of one collection, written, read back, and laid out as columns again."""
+    parts = documents.summaries(s.written, s.customers, s.formula_records)
+    path = staged_path(s.spark)
+    collection.write(collection.collect_kinds(parts), path)
+    return documents.tagged_union(collection.as_columns(collection.read(s.spark, path), parts))
+
+
+def _mixed_documents(s: Shop) -> DataFrame:
+    """Order documents of which one in a thousand has a text for its value, as only a schemaless collection can."""
+    typed = documents.order_documents(s.orders.withColumn("order_id", F.col("order_id").cast("string")))
+    right, wrong = (
+        F.to_variant_object(F.struct(*(value if c == "order_value" else F.col(c) for c in typed.columns)))
+        for value in (F.col("order_value"), F.lit("n/a").alias("order_value"))
+    )
+    spoilt = F.col("order_id").cast("long") % 1000 == 1
+    return typed.select(F.when(spoilt, wrong).otherwise(right).alias(collection.DOCUMENT))
+
+
+def dq_contract_variants(s: Shop) -> DataFrame:
+    return collection.violations(_mixed_documents(s), quality.DOCUMENT_RULES["orders"]).drop("merged_type")
+
+
+def dq_document_types(s: Shop) -> DataFrame:
+    return collection.found_types(_mixed_documents(s), ("order_id", "order_value", "delivery_days", "items", "nowhere"))
+
+
 def monetary_winsorised(s: Shop) -> DataFrame:
     return distribution.winsorised(s.rfm, "monetary").select(
         CUSTOMER, F.round("monetary_capped", 6).alias("monetary_capped")
@@ -454,6 +481,8 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_verdict": dq_verdict,
     "dq_contract_orders": dq_contract_orders,
+    "dq_contract_variants": dq_contract_variants,
+    "dq_document_types": dq_document_types,
     "dq_contract_customers": lambda s: _contract(s.customers, "customers"),
     "dq_contract_products": lambda s: _contract(s.products, "products"),
     "dq_contract_sellers": lambda s: _contract(documents.seller_documents(s.written, s.tables), "sellers"),
@@ -527,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "gold_payment": lambda s: documents.gold_payment(s.orders),
     "segment_stats": lambda s: documents.segment_stats(s.customers),
     "aggregations_union": aggregations_union,
+    "aggregation_documents": aggregation_documents,
     "sketched_customers": lambda s: sketches.checked_customers(s.orders, s.sketched),
     "sketched_returning": lambda s: sketches.checked_returning(s.orders, s.sketched),
     "sketched_percentiles": lambda s: sketches.checked_percentiles(s.orders, s.sketched),

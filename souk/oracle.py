@@ -570,6 +570,23 @@ def union_by_name(parts) -> str:
 
 ALL_NULLS = union(_nulls(t, c) for t, columns in REQUIRED.items() for c in columns)
 
+AGGREGATES = union_by_name(
+    (
+        "select * rename (revenue as total_revenue), 'monthly_revenue' agg_type from months",
+        "select *, 'category_stats' agg_type from cats",
+        """select * exclude (mean_value) rename (mean_payment as avg_order_value), 'state_stats' agg_type
+           from states""",
+        """select purchase_dayofweek, purchase_hour, count(*) order_count,
+                  cast(round(sum(total_payment_value), 2) as double) total_revenue, 'hourly_orders' agg_type
+           from silver group by purchase_dayofweek, purchase_hour""",
+        "select * exclude (avg_review_score), 'payment_methods' agg_type from methods",
+        f"""select 'Churn_Prediction' model_name, 'RiskFormula' best_model,
+                  '{{"best_model":"RiskFormula","models":{{"RiskFormula":{{' || {json_figures()} || '}}}}}}' metrics_json,
+                  'model_performance' agg_type from guess_scores, guess_area""",
+        "select *, 'segment_stats' agg_type from seg_stats",
+    )
+)
+
 QUERIES = {
     "scan_orders": "select order_id, customer_id, order_status from raw_orders",
     "dq_table_profile": union(
@@ -587,6 +604,19 @@ QUERIES = {
         f"select '{f}' field, {wrong} wrong_type, {absent} missing_required, count(*) documents from silver"
         for f, (wrong, absent) in CONTRACT_FIELDS.items()
     ),
+    "dq_contract_variants": union(
+        f"""select '{f}' field, {"count(*) filter (order_id % 1000 = 1)" if f == "order_value" else wrong} wrong_type,
+            {absent} missing_required, count(*) documents from silver"""
+        for f, (wrong, absent) in CONTRACT_FIELDS.items()
+    ),
+    "dq_document_types": """
+        select 'order_id' field, 'STRING' "type", count(*) documents from silver
+        union all select 'items', 'OBJECT', count(*) from silver
+        union all select 'nowhere', 'missing', count(*) from silver
+        union all select 'order_value', case when order_id % 1000 = 1 then 'STRING' else 'DECIMAL' end, count(*)
+            from silver group by all
+        union all select 'delivery_days', case when delivery_days is null then 'VOID' else 'BIGINT' end, count(*)
+            from silver group by all""",
     "dq_manifest_summary": f"""
         select *, round(cast(total_nulls as double) / total_rows * 100, 2) null_pct from (
             select count(*) total_files, count(*) filter (valid) valid_files, cast(sum(row_count) as bigint) total_rows,
@@ -764,22 +794,8 @@ QUERIES = {
     "gold_hourly": "select * from cells",
     "gold_payment": "select * exclude (avg_review_score) from methods",
     "segment_stats": "select * from seg_stats",
-    "aggregations_union": union_by_name(
-        (
-            "select * rename (revenue as total_revenue), 'monthly_revenue' agg_type from months",
-            "select *, 'category_stats' agg_type from cats",
-            """select * exclude (mean_value) rename (mean_payment as avg_order_value), 'state_stats' agg_type
-               from states""",
-            """select purchase_dayofweek, purchase_hour, count(*) order_count,
-                      cast(round(sum(total_payment_value), 2) as double) total_revenue, 'hourly_orders' agg_type
-               from silver group by purchase_dayofweek, purchase_hour""",
-            "select * exclude (avg_review_score), 'payment_methods' agg_type from methods",
-            f"""select 'Churn_Prediction' model_name, 'RiskFormula' best_model,
-                      '{{"best_model":"RiskFormula","models":{{"RiskFormula":{{' || {json_figures()} || '}}}}}}' metrics_json,
-                      'model_performance' agg_type from guess_scores, guess_area""",
-            "select *, 'segment_stats' agg_type from seg_stats",
-        )
-    ),
+    "aggregations_union": AGGREGATES,
+    "aggregation_documents": AGGREGATES,
     "kpi_overview": """
         select cast(round(sum(order_value), 2) as double) order_revenue, count(*) total_orders,
                round(avg(case when review_score > 0 then review_score end), 2) avg_review,

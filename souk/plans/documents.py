@@ -338,10 +338,11 @@ def tagged_union(summaries: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def aggregations_union(
+def summaries(
     orders: DataFrame, segments: DataFrame | None = None, models: DataFrame | None = None
-) -> DataFrame:
-    summaries = {
+) -> dict[str, DataFrame]:
+    """The summaries that make up the collection of aggregates, by kind."""
+    found = {
         "monthly_revenue": gold_monthly(orders),
         "category_stats": gold_category(orders),
         "state_stats": gold_state(orders),
@@ -349,7 +350,13 @@ def aggregations_union(
         "payment_methods": gold_payment(orders),
     }
     if models is not None:
-        summaries["model_performance"] = models
+        found["model_performance"] = models
     if segments is not None:
-        summaries["segment_stats"] = segment_stats(segments)
-    return tagged_union(summaries)
+        found["segment_stats"] = segment_stats(segments)
+    return found
+
+
+def aggregations_union(
+    orders: DataFrame, segments: DataFrame | None = None, models: DataFrame | None = None
+) -> DataFrame:
+    return tagged_union(summaries(orders, segments, models))

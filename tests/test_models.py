@@ -116,3 +116,26 @@ def test_serving_with_and_without_a_model(shop):
         assert scored.count() == customers.count()
         assert scored.filter(~F.col("probability").between(0, 1)).count() == 0
         assert scored.filter(F.col("at_risk") != F.col("risk_level").isin("high", "very high")).count() == 0
+
+
+def test_segment_checks(shop):
+    found = segments.checks(shop.segmentation, shop.segment_rows).first()
+    assert found["customers"] == shop.segment_rows.count()
+    assert found["nearest"] and found["centred"] and found["silhouette_agrees"]
+
+
+def test_segment_checks_notice_other_rows_and_wrong_centres(shop, monkeypatch):
+    moved = shop.segment_rows.withColumn("monetary", F.col("monetary") * 3 + 1000)
+    assert not segments.checks(shop.segmentation, moved).first()["centred"]
+
+    def shifted(self, inputs):
+        return self.model.transform(inputs).withColumn("cluster", (F.col("cluster") + 1) % segments.CLUSTERS)
+
+    monkeypatch.setattr(segments.Segmentation, "assign", shifted)
+    found = segments.checks(shop.segmentation, shop.segment_rows).first()
+    assert not found["nearest"] and not found["centred"]
+
+
+def test_segment_checks_of_no_rows(shop):
+    found = segments.checks(shop.segmentation, shop.segment_rows.limit(0)).first()
+    assert tuple(found) == (0, True, True, True)

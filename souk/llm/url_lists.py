@@ -46,7 +46,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def _keys(host: Column, segments: Column, depth: int) -> Column:
-    """All patterns that a URL can match, and one empty one that stands for the capture itself."""
+    """All patterns that a URL can match; none without a host."""
     labels = F.split(host, r"\.")
     domains = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
@@ -64,8 +64,7 @@ def _keys(host: Column, segments: Column, depth: int) -> Column:
         ),
     )
     exact = F.array(F.struct(F.lit(HOST).alias("kind"), host.alias("value")))
-    itself = F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("value")))
-    return F.when(host != "", F.concat(itself, exact, domains, prefixes)).otherwise(itself)
+    return F.when(host != "", F.concat(exact, domains, prefixes))
 
 
 def filter_captures(
@@ -99,12 +98,15 @@ def filter_captures(
         & (looked_up["fetched"] >= salted["start"])
         & (salted["end"].isNull() | (looked_up["fetched"] < salted["end"]))
     )
-    found = looked_up.join(salted, in_force, "left").select("id", "url", "fetched", looked_up["kind"], "list")
-    # Equal captures have equal keys: what they match counts once for each.
+    matched = looked_up.join(salted, in_force).select("id", "url", "fetched", "list", F.lit(False).alias("itself"))
+    # The captures themselves stay out of the join and meet their matches here. Equal captures have equal keys: what they
+    # match counts once for each.
+    unmatched = seen.select("*", F.lit(None).cast("string").alias("list"), F.lit(True).alias("itself"))
     return (
-        found.groupBy("id", "url", "fetched")
+        unmatched.unionByName(matched)
+        .groupBy("id", "url", "fetched")
         .agg(
-            F.count_if(F.col("kind") == "").alias("rows"),
+            F.count_if("itself").alias("rows"),
             F.count("list").alias("hits"),
             F.array_sort(F.collect_set("list")).alias("lists"),
         )

@@ -19,7 +19,7 @@ from souk.operators import distribution, inference, quality, trigrams
 from souk.operators import rows as pick
 from souk.operators.ordering import asc, desc
 from souk.operators.staging import stage, staged_path
-from souk.plans import churn, collection, colocated, dashboard, documents, reports, rfm, silver, sketches, upkeep
+from souk.plans import churn, collection, colocated, dashboard, documents, reports, rfm, rfm_upkeep, silver, sketches, upkeep
 from souk.plans.rfm import CUSTOMER
 from souk.sources import star
 from souk.sources.contracts import CONTRACTS
@@ -331,6 +331,15 @@ def colocated_orders(s: Shop) -> DataFrame:
     return colocated.merged_orders(colocated.read(s.spark, root, n_buckets))
 
 
+def rfm_scores_folded(s: Shop) -> DataFrame:
+    """Customer scores from three batches of orders. Dates are mixed, so the later batches bring late orders."""
+    root = staged_path(s.spark)
+    orders = stage(s.orders.select(*rfm_upkeep.ORDER_COLUMNS))
+    for batch in range(3):
+        rfm_upkeep.fold(s.spark, root, orders.filter(F.pmod(F.xxhash64("order_id"), F.lit(3)) == batch), batch)
+    return rfm_upkeep.scored(s.spark, root)
+
+
 def parse_timestamps(s: Shop) -> DataFrame:
     """Timestamps read from text; every tenth text is not a date and becomes NULL."""
     at = F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
@@ -517,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "rfm_scores": lambda s: s.scored.select(
         CUSTOMER, "recency", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_score"
     ),
+    "rfm_scores_folded": rfm_scores_folded,
     "orders_with_rfm": lambda s: s.orders_scored.select("order_id", CUSTOMER, *rfm.ORDER_COLUMNS),
     "churn_flag": churn_flag,
     # reports

@@ -667,6 +667,7 @@ QUERIES = {
     "rfm_scores": """
         select customer_unique_id, recency, frequency, cast(monetary as double) monetary, r_score, f_score, m_score,
                rfm_score from scored""",
+    "rfm_scores_folded": f"select * replace ({iso(*CUSTOMER_DATES)}, {dbl('monetary')}) from scored",
     "orders_with_rfm": """
         select s.order_id, s.customer_unique_id, recency, frequency, cast(monetary as double) monetary, r_score,
                f_score, m_score, rfm_score, avg_review_score, avg_delivery_days, customer_tenure_days

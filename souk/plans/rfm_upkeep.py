@@ -14,9 +14,11 @@ that failed can be repeated, and one that was done is not done twice. The versio
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -98,7 +100,7 @@ def merged_state(parts: DataFrame) -> DataFrame:
 
 
 def _with_last_day(state: DataFrame) -> DataFrame:
-    return state.withColumn("last_day", F.to_date("latest.order_purchase_timestamp"))
+    return state.withColumn("last_day", F.unix_date(F.to_date("latest.order_purchase_timestamp")))
 
 
 def _version(root: str, batch: int, part: str) -> str:
@@ -148,16 +150,42 @@ def cut(state: DataFrame) -> list[Range]:
     return found
 
 
-def _place(score: str, ranges: list[Range]) -> Column:
-    """The number of the range that a row falls in. Rows in front of the first one belong to it."""
-    terms = [after(STATE_KEYS[score], r.first, inclusive=True).cast("int") for r in ranges[1:]]
-    return reduce(lambda a, b: a + b, terms, F.lit(0))
+def _json(value: Any) -> str:
+    return format(value, "f") if isinstance(value, Decimal) else json.dumps(value)
+
+
+def _place(score: str, ranges: list[Range], state: DataFrame) -> Column:
+    """The number of the range that a row of ``state`` falls in. Rows in front of the first one belong to it.
+
+    The limits are one constant array of structs that compare as the score sorts, NULL behind all values.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in state.schema.fields}
+    keys = STATE_KEYS[score]
+
+    def limit(first: dict[str, Any]) -> str:
+        fields = []
+        for i, key in enumerate(keys):
+            value = first[key.column]
+            signed = -value if key.descending and value is not None else value
+            fields += [f'"n{i}": {_json(value is None)}', f'"v{i}": {_json(signed)}']
+        return "{" + ", ".join(fields) + "}"
+
+    if len(ranges) < 2:
+        return F.lit(0)
+    own = []
+    for i, key in enumerate(keys):
+        value = F.col(key.column)
+        own += [value.isNull().alias(f"n{i}"), (-value if key.descending else value).alias(f"v{i}")]
+    kind = ", ".join(f"n{i}: boolean, v{i}: {kinds[key.column]}" for i, key in enumerate(keys))
+    text = "[" + ", ".join(limit(r.first) for r in ranges[1:]) + "]"
+    limits = F.from_json(F.lit(text), f"array<struct<{kind}>>")
+    return F.size(F.filter(limits, lambda other: other <= F.struct(*own)))
 
 
 def moved(ranges: list[Range], gone: DataFrame, come: DataFrame) -> list[Range]:
     """The ranges with the rows of ``gone`` taken out and those of ``come`` put in; both have the size of a batch."""
     by_score = {score: [r for r in ranges if r.score == score] for score in STATE_KEYS}
-    places = F.array(*(F.struct(F.lit(s).alias("score"), _place(s, own).alias("place")) for s, own in by_score.items()))
+    places = F.array(*(F.struct(F.lit(s).alias("score"), _place(s, own, come).alias("place")) for s, own in by_score.items()))
     both = gone.withColumn("change", F.lit(-1)).unionByName(come.withColumn("change", F.lit(1)))
     change = both.select("change", F.explode(places).alias("at")).groupBy("at.score", "at.place").agg(F.sum("change").alias("n"))
     changes = {(r["score"], r["place"]): r["n"] for r in change.collect()}

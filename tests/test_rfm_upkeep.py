@@ -40,7 +40,7 @@ def test_ranges_hold_the_counts_of_the_state(spark, orders, tmp_path):
     state = rfm_upkeep._with_last_day(spark.read.parquet(rfm_upkeep._version(root, 2, "customers")))
     for score in rfm_upkeep.STATE_KEYS:
         own = [r for r in ranges if r.score == score]
-        found = {r[0]: r[1] for r in state.groupBy(rfm_upkeep._place(score, own)).count().collect()}
+        found = {r[0]: r[1] for r in state.groupBy(rfm_upkeep._place(score, own, state)).count().collect()}
         assert {i: r.rows for i, r in enumerate(own) if r.rows} == found and 1 < len(own) <= rfm_upkeep.RANGES
 
 

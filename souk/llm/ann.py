@@ -31,9 +31,10 @@ ROUNDS = 15
 RADIUS, STEP = 31, 64
 #: Standard deviations by which a better vector's code may differ more than expected.
 MARGIN = 1.5
-#: Distinct vectors in a shard, queries in a batch.
-SHARD = 1 << 14
-BATCH = 128
+#: Bytes of vectors in a shard and in a batch of queries. Vectors are sent once per batch, queries once per shard, so that with
+#: these sizes all vectors move once for every 16 MB of queries.
+SHARD_BYTES = 4 << 20
+BATCH_BYTES = 16 << 20
 SEED = 42
 VALUES = np.arange(1 << SUBSTRING, dtype=np.uint8)
 
@@ -166,7 +167,9 @@ def nearest(
     norms = np.sqrt(np.einsum("ij,ij->i", sample, sample))
     rotations = learn_rotations(sample / norms[:, None], width)
 
-    n_shards, n_batches = max(1, -(-sizes["n"] // SHARD)), max(1, -(-asked.count() // BATCH))
+    n_shards, n_batches = (
+        max(1, -(-n * width * 8 // size)) for n, size in ((sizes["n"], SHARD_BYTES), (asked.count(), BATCH_BYTES))
+    )
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     queries = asked.withColumn("batch", F.pmod(F.xxhash64("q"), F.lit(n_batches))).withColumn("shard", all_of(n_shards))
     filed = distinct.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(n_shards))).withColumn("batch", all_of(n_batches))

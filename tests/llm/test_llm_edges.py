@@ -374,6 +374,28 @@ def test_nearest(spark, vectors):
     assert ann.nearest(vectors.limit(0), F.col("id") % 100 == 0).count() == 0
 
 
+def test_nearest_over_many_shards_and_batches(spark, monkeypatch):
+    """Tied and repeated vectors in shards of some ten rows, queries in batches of four."""
+    draw = np.random.default_rng(8)
+    data = draw.normal(size=(240, 6))
+    data[::3] = data[0]  # one vector with a third of the rows
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "SHARD_BYTES", 10 * 48)
+    monkeypatch.setattr(ann, "BATCH_BYTES", 4 * 48)
+    found: dict[int, list] = {}
+    for r in ann.nearest(df, F.col("id") % 8 == 0, k=5).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    unit = data / np.linalg.norm(data, axis=1)[:, None]
+    hits = 0
+    for q in range(0, 240, 8):
+        others = [i for i in range(240) if i != q]
+        wanted = sorted(others, key=lambda i: (-round(float(unit[q] @ unit[i]), 12), i))[:5]
+        hits += len(set(wanted) & set(found[q]))
+        if q % 3 == 0:
+            assert found[q] == wanted
+    assert sorted(found) == list(range(0, 240, 8)) and hits >= 0.9 * 5 * len(found)
+
+
 def test_multi_index_finds_every_code_within_the_radius():
     draw = np.random.default_rng(1)
     data = draw.normal(size=(400, 16))

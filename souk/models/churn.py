@@ -132,11 +132,15 @@ def stratified_customers(customers: DataFrame) -> DataFrame:
 
 
 def _fit(labelled: DataFrame, features: Sequence[str], *tail: Estimator, vector: str = "features") -> Churn:
-    """Fit on the training rows, which stay persisted while the estimator passes over them repeatedly."""
+    """Fit on the training rows, which stay persisted while the estimator passes over them repeatedly.
+
+    The model is a copy: Spark sends a random forest to the tasks with its training summary, which holds the session, and
+    a session with job tags cannot be serialized. A forest's copy has no summary.
+    """
     training = spread(training_rows(labelled), CUSTOMER).persist()
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="skip")
-        return Churn(Pipeline(stages=[assembler, *tail]).fit(training), tuple(features))
+        return Churn(Pipeline(stages=[assembler, *tail]).fit(training).copy(), tuple(features))
     finally:
         training.unpersist()
 

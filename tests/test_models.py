@@ -139,3 +139,15 @@ def test_segment_checks_notice_other_rows_and_wrong_centres(shop, monkeypatch):
 def test_segment_checks_of_no_rows(shop):
     found = segments.checks(shop.segmentation, shop.segment_rows.limit(0)).first()
     assert tuple(found) == (0, True, True, True)
+
+
+def test_forest_scores_in_a_session_with_job_tags(spark):
+    """A session with tags cannot be serialized, so the fitted forest must not carry it to the tasks."""
+    rows = [(i, float(i % 7), float(i % 7 > 3), "train" if i % 5 else "test") for i in range(60)]
+    labelled = spark.createDataFrame(rows, "customer_unique_id long, x double, label double, split string")
+    spark.addTag("tagged")
+    try:
+        scores = churn.random_forest(labelled, ["x"]).scores(labelled)
+    finally:
+        spark.removeTag("tagged")
+    assert scores["accuracy"] == 1.0

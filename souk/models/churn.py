@@ -103,11 +103,24 @@ def test_rows(labelled: DataFrame) -> DataFrame:
 test_rows.__test__ = False
 
 
+#: Training rows of one task.
+ROWS_PER_TASK = 50_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    return max(1, -(-rows.count() // ROWS_PER_TASK))
+
+
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """At least one partition per core: a small written table is read in one, and would be trained on in one task."""
-    spark = rows.sparkSession
-    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return rows.repartition(width, key)
+    """At least one partition per core: a small written table is read in one, and would be trained on in one task. A
+    larger table has partitions by its rows, however many shuffle partitions the session has."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, tasks_for(rows)), key)
+
+
+def gathered(rows: DataFrame, key: str) -> DataFrame:
+    """Partitions of about ``ROWS_PER_TASK`` rows, for boosting: its six jobs a tree run one after another, hundreds of
+    them, and on a small table a task costs more to start and to report than to run."""
+    return rows.repartition(tasks_for(rows), key)
 
 
 def labelled_customers(features: DataFrame) -> DataFrame:
@@ -131,13 +144,15 @@ def stratified_customers(customers: DataFrame) -> DataFrame:
     return with_stratified_split(labelled, CUSTOMER, "label")
 
 
-def _fit(labelled: DataFrame, features: Sequence[str], *tail: Estimator, vector: str = "features") -> Churn:
+def _fit(
+    labelled: DataFrame, features: Sequence[str], *tail: Estimator, vector: str = "features", deal=spread
+) -> Churn:
     """Fit on the training rows, which stay persisted while the estimator passes over them repeatedly.
 
     The model is a copy: Spark sends a random forest to the tasks with its training summary, which holds the session, and
     a session with job tags cannot be serialized. A forest's copy has no summary.
     """
-    training = spread(training_rows(labelled), CUSTOMER).persist()
+    training = deal(training_rows(labelled), CUSTOMER).persist()
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="skip")
         return Churn(Pipeline(stages=[assembler, *tail]).fit(training).copy(), tuple(features))
@@ -146,13 +161,13 @@ def _fit(labelled: DataFrame, features: Sequence[str], *tail: Estimator, vector:
 
 
 def gradient_boosting(labelled: DataFrame) -> Churn:
-    return _fit(labelled, FEATURES, GBTClassifier(weightCol="weight", **GBT))
+    return _fit(labelled, FEATURES, GBTClassifier(weightCol="weight", **GBT), deal=gathered)
 
 
 def slow_gradient_boosting(labelled: DataFrame) -> Churn:
     """150 small steps on standardised inputs with 80 % row sampling, for a stratified split."""
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    return _fit(labelled, FEATURES, scaler, GBTClassifier(**GBT_SLOW), vector="raw_features")
+    return _fit(labelled, FEATURES, scaler, GBTClassifier(**GBT_SLOW), vector="raw_features", deal=gathered)
 
 
 def random_forest(labelled: DataFrame, features: Sequence[str] = LEGACY_FEATURES) -> Churn:

@@ -103,24 +103,21 @@ def test_rows(labelled: DataFrame) -> DataFrame:
 test_rows.__test__ = False
 
 
-#: Training rows of one task.
-ROWS_PER_TASK = 50_000
-
-
-def tasks_for(rows: DataFrame) -> int:
-    return max(1, -(-rows.count() // ROWS_PER_TASK))
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """At least one partition per core: a small written table is read in one, and would be trained on in one task."""
+    spark = rows.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(width, key)
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """At least one partition per core: a small written table is read in one, and would be trained on in one task. A
-    larger table has partitions by its rows, however many shuffle partitions the session has."""
-    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, tasks_for(rows)), key)
+#: Training rows of one task of a boosted model.
+ROWS_PER_TASK = 50_000
 
 
 def gathered(rows: DataFrame, key: str) -> DataFrame:
     """Partitions of about ``ROWS_PER_TASK`` rows, for boosting: its six jobs a tree run one after another, hundreds of
     them, and on a small table a task costs more to start and to report than to run."""
-    return rows.repartition(tasks_for(rows), key)
+    return rows.repartition(max(1, -(-rows.count() // ROWS_PER_TASK)), key)
 
 
 def labelled_customers(features: DataFrame) -> DataFrame:

@@ -83,9 +83,15 @@ class Shop:
     def rfm(self) -> DataFrame:
         return rfm.rfm_customers(self.orders)
 
+    @cached_property
+    def customer_orders(self) -> DataFrame:
+        """The order columns that customer figures read, as a written table: scores read them twice (the last purchase of
+        all orders comes first), features once more, and each reading would join and aggregate all tables anew."""
+        return stage(self.orders.select(*rfm.INPUT_COLUMNS))
+
     @cached_property
     def scored(self) -> DataFrame:
-        return stage(rfm.with_scores(self.rfm))
+        return stage(rfm.with_scores(rfm.rfm_customers(self.customer_orders)))
 
     @cached_property
     def orders_scored(self) -> DataFrame:
@@ -93,7 +99,7 @@ class Shop:
 
     @cached_property
     def features(self) -> DataFrame:
-        return churn.churn_features(self.orders, self.scored)
+        return churn.churn_features(self.customer_orders, self.scored)
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -18,6 +18,19 @@ SCORE_KEYS = {
     "f_score": [desc("frequency"), asc(CUSTOMER)],
     "m_score": [desc("monetary"), asc(CUSTOMER)],
 }
+# The order columns that customer figures read.
+INPUT_COLUMNS = (
+    CUSTOMER,
+    "order_id",
+    "order_status",
+    "order_purchase_timestamp",
+    "total_payment_value",
+    "review_score",
+    "delivery_days",
+    "total_items",
+    "customer_state",
+    "customer_city",
+)
 # The customer columns that an order carries.
 ORDER_COLUMNS = (
     "recency",

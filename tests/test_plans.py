@@ -192,3 +192,12 @@ def test_no_temporary_folder_on_a_cluster():
         shared_folder(FakeSession(None, "yarn"))
     local = FakeSession(None, "local[2]")
     assert shared_folder(local) == shared_folder(local) == local.folder
+
+
+def test_customer_figures_read_the_raw_tables_once(spark):
+    from souk.catalog import Shop
+
+    shop = Shop(spark, SF)
+    for table in (shop.scored, shop.features, shop.customer_documents):
+        assert not [path for path in table.inputFiles() if path.startswith(f"file://{SF}")]
+    assert shop.scored.count() == shop.rfm.count()

@@ -72,8 +72,9 @@ class Shop:
 
     @cached_property
     def written(self) -> DataFrame:
-        """The silver columns that summaries and item joins read, as a written table."""
-        return stage(self.wide.select("order_id", "seller_state", *documents.SUMMARY_COLUMNS))
+        """The silver columns that summaries and item joins read, as a written table. They need product and seller of an
+        order's first item only, so the plan by parts sends one row per order, not every item, to these lookups."""
+        return stage(self.orders.select("order_id", "seller_state", *documents.SUMMARY_COLUMNS))
 
     @cached_property
     def purchases(self) -> DataFrame:

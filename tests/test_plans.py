@@ -201,3 +201,13 @@ def test_customer_figures_read_the_raw_tables_once(spark):
     for table in (shop.scored, shop.features, shop.customer_documents):
         assert not [path for path in table.inputFiles() if path.startswith(f"file://{SF}")]
     assert shop.scored.count() == shop.rfm.count()
+
+
+def test_summary_columns_come_from_the_plan_by_parts(spark):
+    from souk.catalog import Shop
+
+    shop = Shop(spark, SF)
+    written = shop.written
+    assert "wide" not in shop.__dict__ and "merged" not in shop.__dict__
+    wide = shop.wide.select(*written.columns)
+    assert written.exceptAll(wide).count() == 0 and written.count() == wide.count()

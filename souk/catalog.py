@@ -86,8 +86,8 @@ class Shop:
 
     @cached_property
     def customer_orders(self) -> DataFrame:
-        """The order columns that customer figures read, as a written table: scores read them twice (the last purchase of
-        all orders comes first), features once more, and each reading would join and aggregate all tables anew."""
+        """The order columns that customer figures read, as a written table: the features read them after the scores, and
+        would join and aggregate all tables anew. Scores alone gain nothing from it (``rfm_scores`` does without)."""
         return stage(self.orders.select(*rfm.INPUT_COLUMNS))
 
     @cached_property
@@ -530,7 +530,7 @@ QUERIES: dict[str, Query] = {
     "project_order_summary": lambda s: documents.order_summary(s.orders),
     # customers
     "rfm_customers": lambda s: s.rfm,
-    "rfm_scores": lambda s: s.scored.select(
+    "rfm_scores": lambda s: rfm.rfm_scores(s.orders).select(
         CUSTOMER, "recency", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_score"
     ),
     "rfm_scores_folded": rfm_scores_folded,

@@ -84,10 +84,19 @@ class Shop:
     def rfm(self) -> DataFrame:
         return rfm.rfm_customers(self.orders)
 
+    @cached_property
+    def model_orders(self) -> DataFrame:
+        """The order columns that all models read, as a written table: customer figures, the legacy features and the review
+        rows would each join and aggregate all tables anew."""
+        return stage(self.orders.select(*dict.fromkeys((*rfm.INPUT_COLUMNS, *reviews.COLUMNS))))
+
     @cached_property
     def customer_orders(self) -> DataFrame:
         """The order columns that customer figures read, as a written table: the features read them after the scores, and
-        would join and aggregate all tables anew. Scores alone gain nothing from it (``rfm_scores`` does without)."""
+        would join and aggregate all tables anew. Scores alone gain nothing from it (``rfm_scores`` does without). They are
+        taken from the models' columns where these are written already."""
+        if "model_orders" in self.__dict__:
+            return self.model_orders.select(*rfm.INPUT_COLUMNS)
         return stage(self.orders.select(*rfm.INPUT_COLUMNS))
 
     @cached_property
@@ -171,11 +180,12 @@ class Shop:
 
     @cached_property
     def legacy(self) -> DataFrame:
-        return stage(churn_models.legacy_features(self.orders_scored))
+        orders = self.model_orders  # before the scores, which read it too
+        return stage(churn_models.legacy_features(rfm.orders_with_rfm(orders, self.scored)))
 
     @cached_property
     def review_rows(self) -> DataFrame:
-        return stage(reviews.review_rows(self.orders))
+        return stage(reviews.review_rows(self.model_orders if "model_orders" in self.__dict__ else self.orders))
 
     @cached_property
     def boosted(self) -> churn_models.Churn:
@@ -199,10 +209,11 @@ class Shop:
 
     @cached_property
     def churn_scores(self) -> dict[str, dict[str, float]]:
+        legacy = self.legacy  # first, so that the boosted model's customers come from the order columns written for it
         return {
             "GradientBoosting": self.boosted.scores(self.labelled),
-            "RandomForest": self.forest.scores(self.legacy),
-            "LogisticRegression": self.logistic.scores(self.legacy),
+            "RandomForest": self.forest.scores(legacy),
+            "LogisticRegression": self.logistic.scores(legacy),
         }
 
     @cached_property

@@ -25,6 +25,8 @@ NUMBERS = (
     "freight_ratio",
 )
 FEATURES = (*NUMBERS, "category_index")
+#: The order columns that ``review_rows`` reads.
+COLUMNS = ("order_id", CATEGORY, LABEL, *NUMBERS)
 
 # Model parameters.
 FOREST = {"numTrees": 50, "maxDepth": 8, "seed": 42}

@@ -72,9 +72,11 @@ class Shop:
 
     @cached_property
     def written(self) -> DataFrame:
-        """The silver columns that summaries and item joins read, as a written table. They need product and seller of an
-        order's first item only, so the plan by parts sends one row per order, not every item, to these lookups."""
-        return stage(self.orders.select("order_id", "seller_state", *documents.SUMMARY_COLUMNS))
+        """The silver columns that summaries and item joins read, as a written table, with those of customer figures, which
+        stand in the same parts. They need product and seller of an order's first item only, so the plan by parts sends
+        one row per order, not every item, to these lookups."""
+        columns = dict.fromkeys(("order_id", "seller_state", *documents.SUMMARY_COLUMNS, *rfm.INPUT_COLUMNS))
+        return stage(self.orders.select(*columns))
 
     @cached_property
     def purchases(self) -> DataFrame:
@@ -94,9 +96,10 @@ class Shop:
     def customer_orders(self) -> DataFrame:
         """The order columns that customer figures read, as a written table: the features read them after the scores, and
         would join and aggregate all tables anew. Scores alone gain nothing from it (``rfm_scores`` does without). They are
-        taken from the models' columns where these are written already."""
-        if "model_orders" in self.__dict__:
-            return self.model_orders.select(*rfm.INPUT_COLUMNS)
+        taken from a wider written table where there is one already."""
+        for wider in ("model_orders", "written"):
+            if wider in self.__dict__:
+                return getattr(self, wider).select(*rfm.INPUT_COLUMNS)
         return stage(self.orders.select(*rfm.INPUT_COLUMNS))
 
     @cached_property

@@ -39,3 +39,12 @@ def test_customers_alone_do_not_write_the_models_columns(spark, from_items):
     with scope(spark):
         catalog.Shop(spark, SF).features.count()
         assert len(from_items) == 1 and reviews.CATEGORY not in from_items[0]
+
+
+def test_summaries_and_customers_share_one_written_table_of_orders(spark, from_items):
+    with scope(spark):
+        s = catalog.Shop(spark, SF)
+        catalog.aggregation_documents(s).count()
+        assert len(from_items) == 1
+        direct = catalog.Shop(spark, SF)
+        assert rows_of(s.features) == rows_of(direct.features)

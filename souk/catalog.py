@@ -430,7 +430,7 @@ def _mixed_documents(s: Shop) -> DataFrame:
 
 
 def dq_contract_variants(s: Shop) -> DataFrame:
-    return collection.violations(_mixed_documents(s), quality.DOCUMENT_RULES["orders"]).drop("merged_type")
+    return collection.violations(_mixed_documents(s), quality.DOCUMENT_RULES["orders"], merged=False)
 
 
 def dq_document_types(s: Shop) -> DataFrame:

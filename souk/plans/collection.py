@@ -73,29 +73,35 @@ def found_types(documents: DataFrame, paths: Sequence[str]) -> DataFrame:
     return documents.select(F.inline(F.array(*each))).groupBy("field", "type").agg(rows().alias("documents"))
 
 
-def violations(documents: DataFrame, rules: Sequence[FieldRule]) -> DataFrame:
+def violations(documents: DataFrame, rules: Sequence[FieldRule], merged: bool = True) -> DataFrame:
     """(field, wrong_type, missing_required, documents, merged_type): how many documents break each rule, and the type all
     values of the field share (``VARIANT`` if none). It warns: nothing is dropped, and an empty collection breaks none.
 
     A document breaks a rule by a value whose own type is not allowed, and a required field also by having none or null.
+    Without ``merged`` the last column is left out: Catalyst keeps an aggregate whose result goes unused here, and merging
+    the types of every document costs more than the counts.
     """
+    # Each field's type is found once a document; the counts would repeat it for each of their conditions.
+    kinds = [_type_at(rule.path).alias(f"kind_{i}") for i, rule in enumerate(rules)]
+    typed = documents.select(DOCUMENT, *kinds)
     checks = []
-    for rule in rules:
-        kind = _type_at(rule.path)
+    for i, rule in enumerate(rules):
+        kind = F.col(f"kind_{i}")
         absent = kind.isin("missing", "VOID")
         wrong = ~absent & ~kind.isin(*sorted({VARIANT_TYPES.get(t, t.upper()) for t in rule.types}))
-        merged = F.schema_of_variant_agg(F.variant_get(DOCUMENT, _json_path(rule.path), "variant"))
-        checks.append(
-            F.struct(
-                F.lit(rule.path).alias("field"),
-                F.count_if(wrong).alias("wrong_type"),
-                F.count_if(absent & F.lit(rule.required)).alias("missing_required"),
-                merged.alias("merged_type"),
-            )
-        )
-    counted = documents.agg(rows().alias("documents"), F.array(*checks).alias("checks"))
+        check = [
+            F.lit(rule.path).alias("field"),
+            F.count_if(wrong).alias("wrong_type"),
+            F.count_if(absent & F.lit(rule.required)).alias("missing_required"),
+        ]
+        if merged:
+            whole = F.schema_of_variant_agg(F.variant_get(DOCUMENT, _json_path(rule.path), "variant"))
+            check.append(whole.alias("merged_type"))
+        checks.append(F.struct(*check))
+    counted = typed.agg(rows().alias("documents"), F.array(*checks).alias("checks"))
+    last = ["merged_type"] if merged else []
     return counted.select(F.inline("checks"), "documents").select(
-        "field", "wrong_type", "missing_required", "documents", "merged_type"
+        "field", "wrong_type", "missing_required", "documents", *last
     )
 
 

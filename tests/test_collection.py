@@ -3,10 +3,12 @@
 import os
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 from test_plans import plan
 from test_upkeep import rows_of
 
+from souk import catalog
 from souk.operators.quality import NUMBER, OBJECT, TEXT, FieldRule
 from souk.plans import collection
 
@@ -83,3 +85,17 @@ def test_empty_collection_breaks_no_rule(spark):
     docs = spark.sql("select parse_json('1') document where false")
     assert all(c["wrong_type"] == c["missing_required"] == c["documents"] == 0 for c in found(docs).values())
     assert collection.found_types(docs, ("a",)).count() == 0
+
+
+def test_counts_alone_merge_no_types(spark):
+    """Each field's type is found once a document, and nothing is computed that goes unused."""
+    docs = spark.range(50).select(F.parse_json(F.lit('{"id": 1, "who": {"name": "x"}}')).alias("document"))
+    docs = docs.unionByName(spark.sql("select parse_json('{}') document"))
+    counts = collection.violations(docs, RULES, merged=False)
+    assert rows_of(counts) == rows_of(collection.violations(docs, RULES).drop("merged_type"))
+    assert "schema_of_variant_agg" not in plan(counts)
+
+
+def test_variants_of_the_catalog_merge_no_types(spark):
+    text = plan(catalog.run("dq_contract_variants", spark, SF))
+    assert "schema_of_variant_agg" not in text and "ObjectHashAggregate(keys=[]" not in text

@@ -157,7 +157,8 @@ def _json(value: Any) -> str:
 def _place(score: str, ranges: list[Range], state: DataFrame) -> Column:
     """The number of the range that a row of ``state`` falls in. Rows in front of the first one belong to it.
 
-    The limits are one constant array of structs that compare as the score sorts, NULL behind all values.
+    The limits are one constant array of structs that compare as the score sorts, NULL behind all values. A row is placed
+    by halving: with 32 ranges, five comparisons.
     """
     kinds = {f.name: f.dataType.simpleString() for f in state.schema.fields}
     keys = STATE_KEYS[score]
@@ -179,7 +180,14 @@ def _place(score: str, ranges: list[Range], state: DataFrame) -> Column:
     kind = ", ".join(f"n{i}: boolean, v{i}: {kinds[key.column]}" for i, key in enumerate(keys))
     text = "[" + ", ".join(limit(r.first) for r in ranges[1:]) + "]"
     limits = F.from_json(F.lit(text), f"array<struct<{kind}>>")
-    return F.size(F.filter(limits, lambda other: other <= F.struct(*own)))
+    row = F.struct(*own)
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range((len(ranges) - 1).bit_length()))))
+
+    def upward(place: Column, step: Column) -> Column:
+        """The first ``place`` limits are not above the row; past the last limit the comparison is NULL."""
+        return F.when(F.get(limits, place + step - 1) <= row, place + step).otherwise(place)
+
+    return F.aggregate(steps, F.lit(0), upward)
 
 
 def moved(ranges: list[Range], gone: DataFrame, come: DataFrame) -> list[Range]:

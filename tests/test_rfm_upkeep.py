@@ -2,8 +2,10 @@
 
 import pytest
 from pyspark.sql import functions as F
+from test_plans import plan
 from test_upkeep import rows_of
 
+from souk.operators.ordering import after
 from souk.operators.staging import stage
 from souk.plans import rfm, rfm_upkeep
 from souk.plans.rfm import CUSTOMER
@@ -102,3 +104,19 @@ def test_earlier_orders_are_not_read(spark, orders, tmp_path):
     rfm_upkeep.fold(spark, root, orders, 0)
     read = set(rfm_upkeep.scored(spark, root).inputFiles())
     assert read and all("/v0/customers/" in f for f in read)
+
+
+def test_rows_are_placed_by_halving(spark):
+    """Rows before, on, between and behind the limits, NULLs and any number of ranges; few comparisons a row."""
+    values = [None, *range(-2, 30)]
+    rows = spark.createDataFrame([(v, c) for v in values for c in (0, 1)], f"frequency long, {CUSTOMER} long")
+    for n in (1, 2, 3, 8, 9):
+        firsts = [{"frequency": v, CUSTOMER: 1} for v in range(3 * n, 0, -3)]
+        firsts[-1] = {"frequency": None, CUSTOMER: 1} if n > 2 else firsts[-1]
+        ranges = [rfm_upkeep.Range("f_score", first, 1) for first in firsts]
+        place = rfm_upkeep._place("f_score", ranges, rows)
+        wanted = sum(
+            (after(rfm_upkeep.STATE_KEYS["f_score"], first, inclusive=True).cast("int") for first in firsts[1:]), F.lit(0)
+        )
+        assert rows.filter(place != wanted).count() == 0
+    assert "filter(" not in plan(rows.select(place))

@@ -1,5 +1,6 @@
 """Tables in buckets of the order id: the same wide rows, no exchange, hot and missing ids."""
 
+import threading
 from dataclasses import replace
 
 import pytest
@@ -41,6 +42,26 @@ def test_equal_to_the_unbucketed_plan(spark, tables, written):
     assert rows_of(found) == rows_of(silver.merged_orders(tables))
 
 
+def test_tables_are_written_at_the_same_time(spark, tables, tmp_path, monkeypatch):
+    """All four have begun before any is done, and the failure of one is raised."""
+    together, write = threading.Barrier(4, timeout=60), buckets.write
+
+    def waiting(df, path, key, n_buckets):
+        together.wait()
+        if path.endswith("payments") and failing:
+            raise OSError("disk")
+        write(df, path, key, n_buckets)
+
+    monkeypatch.setattr(buckets, "write", waiting)
+    failing = False
+    colocated.write(tables, str(tmp_path / "a"), 4)
+    found = colocated.merged_orders(colocated.read(spark, str(tmp_path / "a"), 4))
+    assert rows_of(found) == rows_of(silver.merged_orders(tables))
+    failing = True
+    with pytest.raises(OSError, match="disk"):
+        colocated.write(tables, str(tmp_path / "b"), 4)
+
+
 def test_no_table_names_stay(spark, written):
     colocated.read(spark, written, 8)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]

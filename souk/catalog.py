@@ -58,7 +58,7 @@ class Shop:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return silver.merged_orders(self.tables)
+        return silver.written_orders(self.tables)
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -5,8 +5,9 @@ Everything an order gets (customer, items, payments, reviews) is first aggregate
 * The aggregates and the deduplicated orders share the partitioning on ``order_id``, so these joins add no shuffle and
   cannot fan out.
 * An aggregate is unique on its grouping key, so Catalyst drops the join to any of them from a query that uses none of
-  its columns. ``merged_orders_by_part`` is built that way, for single reports; ``merged_orders``, which is written with
-  all columns, reads each table as seldom as it can.
+  its columns. ``merged_orders_by_part`` is built that way, for single reports; ``merged_orders``, for all columns, reads
+  each table as seldom as it can. ``written_orders`` has the same rows and sends the fewest bytes: only ids go to the
+  lookups. It takes that plan where products, sellers and categories stand in their tables once.
 * Sums, extremes and smallest-row picks combine map-side: an order that holds a third of the items reaches the shuffle
   as one row per task.
 * Lookups in customers, products and sellers come before these aggregates, with a shuffle of their own on either side
@@ -16,6 +17,10 @@ Everything an order gets (customer, items, payments, reviews) is first aggregate
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +28,7 @@ from souk.functions import dates, labels
 from souk.functions.measures import mean, rows
 from souk.operators.ordering import asc, nulls_last
 from souk.operators.rows import first_per_key, one_row_per_key
-from souk.sources.tables import Tables
+from souk.sources.tables import BY_ORDER, Tables
 
 PURCHASE_ORDER = ("order_purchase_timestamp", "customer_id", "order_status")
 ITEM_ORDER = ("order_item_id", "product_id", "seller_id")
@@ -247,8 +252,8 @@ def orders_with_customers(tables: Tables) -> DataFrame:
 
 
 def merged_orders(tables: Tables) -> DataFrame:
-    """One row per order with customer, items, payments and reviews; 36 columns. For the written table: every raw
-    table is read once, the items twice. ``merged_orders_by_part`` is for queries that use few of the columns."""
+    """One row per order with customer, items, payments and reviews; 36 columns. Every raw table is read once, the items
+    twice. ``merged_orders_by_part`` is for queries that use few of the columns, ``written_orders`` sends fewer bytes."""
     parts = (
         items_per_order_once(tables),
         payments_per_order(tables.payments),
@@ -260,6 +265,114 @@ def merged_orders(tables: Tables) -> DataFrame:
     return merged
 
 
+#: An order with more items than these is spread over tasks by ``merged_orders``.
+LARGE_ORDER = 100_000
+
+#: Keeps the rows of some orders, by a join on the order id.
+Kept = Callable[[DataFrame], DataFrame]
+
+
+def whole(df: DataFrame) -> DataFrame:
+    return df
+
+
+def suits_narrow_lookups(tables: Tables) -> bool:
+    """Whether products, sellers and categories stand in their tables once, every order has an id, and none has more than
+    ``LARGE_ORDER`` items. One job over the keys alone."""
+
+    def more_than(n: int, df: DataFrame, key: str) -> DataFrame:
+        counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(rows().alias("n"))
+        return counted.filter(F.col("n") > n).select(F.lit(1).alias("found"))
+
+    found = (
+        more_than(1, tables.products, "product_id"),
+        more_than(1, tables.sellers, "seller_id"),
+        more_than(1, tables.category_translation, "product_category_name"),
+        more_than(LARGE_ORDER, tables.order_items, "order_id"),
+        tables.orders.filter(F.col("order_id").isNull()).select(F.lit(1).alias("found")),
+    )
+    return reduce(DataFrame.unionByName, found).agg(rows()).first()[0] == 0
+
+
+def orders_by_customer_id(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """The rows of ``orders_with_customers`` for orders that all have an id: only the two ids are sent to the customers.
+    Of customers that come twice, the first row counts there, NULL behind all values."""
+    columns = [c for c in customers.columns if c != "customer_id"]
+    first = F.min(F.struct(*nulls_last(columns))).alias("first")
+    once = customers.groupBy("customer_id").agg(first).select("customer_id", *(f"first.{c}" for c in columns))
+    kept = dedup_orders(orders)
+    found = kept.select("order_id", "customer_id").join(once, "customer_id", "left").drop("customer_id")
+    return kept.join(found, "order_id", "left").select(*orders.columns, *columns)
+
+
+def first_item_facts(tables: Tables, kept: Kept = whole) -> DataFrame:
+    """Distinct counts of an order's items, category and seller of its first one. The items' ids are sent once, to their
+    order; only the first ones go on to the lookups. An order has to suit a task."""
+    ids = tables.order_items.filter(F.col("order_id").isNotNull()).select("order_id", *ITEM_ORDER)
+    first = F.min(F.struct(*nulls_last(ITEM_ORDER))).alias("first")
+    per_order = (
+        kept(ids.repartition("order_id"))
+        .groupBy("order_id")
+        .agg(
+            F.size(F.collect_set("product_id")).cast("long").alias("unique_products"),
+            F.size(F.collect_set("seller_id")).cast("long").alias("unique_sellers"),
+            first,
+        )
+        .select("order_id", "unique_products", "unique_sellers", "first.product_id", "first.seller_id")
+    )
+    categories = translated_products(
+        tables.products.select("product_id", "product_category_name"), tables.category_translation
+    )
+    places = seller_places(tables.sellers).drop("seller_zip_code_prefix")
+    found = per_order.join(categories, "product_id", "left").join(places, "seller_id", "left")
+    carried = (F.col(c).alias(name) for name, c in CARRIED.items())
+    return found.select("order_id", "unique_products", "unique_sellers", *carried)
+
+
+def averages_by_order_id(tables: Tables) -> DataFrame:
+    """The columns of ``item_averages``. Behind the lookup an order's items lie far apart and combine with few others, so
+    they are sent as they are: sums and counts would be twice as wide."""
+    items = tables.order_items.filter(F.col("order_id").isNotNull()).select("order_id", "product_id")
+    found = items.join(tables.products.select("product_id", *AVERAGED), "product_id", "left").drop("product_id")
+    return found.repartition("order_id").groupBy("order_id").agg(*(mean(n).alias(f"avg_{n}") for n in AVERAGED))
+
+
+def narrow_orders(tables: Tables, kept: Kept = whole, few: bool = False) -> DataFrame:
+    """The rows of ``merged_orders``, of the orders ``kept``, for tables that suit narrow lookups.
+
+    Rows are kept where they lie by order id anyway. With ``few``, also sums and averages are: they would find no order,
+    but if the ids are few enough to broadcast, Catalyst takes the join below the aggregates, down to the scans.
+    """
+    parts = (
+        item_totals(tables.order_items),
+        averages_by_order_id(tables),
+        payments_per_order(tables.payments),
+        reviews_per_order(tables.reviews),
+    )
+    totals, averages, payments, reviews = (kept(part) if few else part for part in parts)
+    customers = [c for c in tables.customers.columns if c != "customer_id"]
+    merged = orders_by_customer_id(kept(tables.orders), tables.customers)
+    for part in (totals, first_item_facts(tables, kept), averages, payments, reviews):
+        merged = merged.join(part, "order_id", "left")
+    return merged.select(
+        *tables.orders.columns,
+        *customers,
+        *totals.columns[1:],
+        "unique_products",
+        "unique_sellers",
+        *CARRIED,
+        *(c for part in (averages, payments, reviews) for c in part.columns[1:]),
+    )
+
+
+def written_orders(tables: Tables, kept: Kept = whole, few: bool = False) -> DataFrame:
+    """The rows of ``merged_orders``, of the orders ``kept``, for all columns. One job looks at the keys first, since a
+    product or seller that comes twice counts its items twice, which takes a lookup of every item."""
+    if suits_narrow_lookups(tables):
+        return narrow_orders(tables, kept, few)
+    return merged_orders(replace(tables, **{name: kept(getattr(tables, name)) for name in BY_ORDER}))
+
+
 def merged_orders_by_part(tables: Tables) -> DataFrame:
     """The same table as ``merged_orders`` from one aggregate per group of columns, so that Catalyst drops those that a
     query does not use."""
@@ -309,8 +422,9 @@ def order_features(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def silver_orders(tables: Tables) -> DataFrame:
-    return order_features(clean_orders(merged_orders(tables)))
+def silver_orders(tables: Tables, kept: Kept = whole, few: bool = False) -> DataFrame:
+    """The silver table of the orders ``kept``, which may be ``few``."""
+    return order_features(clean_orders(written_orders(tables, kept, few)))
 
 
 def with_parsed_timestamps(orders: DataFrame, columns: list[str]) -> DataFrame:

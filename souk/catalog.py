@@ -478,8 +478,8 @@ def refreshed_silver(s: Shop) -> DataFrame:
     late = s.tables.orders.filter(F.col("order_purchase_timestamp") >= F.lit("1999-01-01").cast("timestamp_ntz"))
     odd = late.select("order_id").filter(F.col("order_id") % 2 == 1)
     path = staged_path(s.spark)
-    early = {name: getattr(s.tables, name).join(odd, "order_id", "left_anti") for name in upkeep.BY_ORDER}
-    upkeep.write_by_month(silver.silver_orders(replace(s.tables, **early)), path)
+    early = silver.silver_orders(s.tables, lambda df: df.join(odd, "order_id", "left_anti"))
+    upkeep.write_by_month(early, path)
     upkeep.refresh(s.spark, s.tables, path, odd)
     orders = upkeep.read_by_month(s.spark, path)
     return orders.select("order_id", "purchase_year_month", "total_items", "total_payment_value", "review_score", "order_value")

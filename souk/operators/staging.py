@@ -17,6 +17,7 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own = threading.local()  # staged paths by thread, so that one thread's scope leaves another's tables alone
 _local: list[tempfile.TemporaryDirectory] = []  # removed when the process ends
 
@@ -60,6 +61,18 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside leave no shuffle files behind: these go as soon as a table is written, and not only when the
+    driver collects its garbage."""
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANED, before) if before is not None else spark.conf.unset(CLEANED)
+
+
 def release(spark: SparkSession, keep: int = 0) -> None:
     """Delete the staged tables but for the first ``keep``. Nothing that reads them can run afterwards."""
     context, paths = spark.sparkContext, _paths()

@@ -6,21 +6,19 @@ orders, before or after, are built anew and replace their folders; all others ke
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.functions.dates import month_of
-from souk.operators.staging import scope, stage
+from souk.operators.staging import scope, shuffles_freed, stage
 from souk.plans import silver
 from souk.sources import lake
-from souk.sources.tables import Tables
+from souk.sources.tables import BY_ORDER, Tables
+
+__all__ = ["BY_ORDER", "MONTH", "month_key", "orders_of_months", "read_by_month", "refresh", "touched_months", "write_by_month"]
 
 #: Folder name of a month. The letter in front keeps Spark from reading it as a date.
 MONTH = "_month"
-#: Tables whose rows belong to one order.
-BY_ORDER = ("orders", "order_items", "payments", "reviews")
 
 
 def month_key(purchased: str = "order_purchase_timestamp") -> Column:
@@ -29,7 +27,8 @@ def month_key(purchased: str = "order_purchase_timestamp") -> Column:
 
 def write_by_month(orders: DataFrame, path: str) -> int:
     """Write the whole silver table, one folder per purchase month; returns the number of rows."""
-    return lake.write(orders.withColumn(MONTH, month_key()), path, (MONTH,))
+    with shuffles_freed(orders.sparkSession):
+        return lake.write(orders.withColumn(MONTH, month_key()), path, (MONTH,))
 
 
 def read_by_month(spark: SparkSession, path: str) -> DataFrame:
@@ -45,11 +44,9 @@ def touched_months(spark: SparkSession, tables: Tables, path: str, order_ids: Da
     return sorted(r[MONTH] for r in both.collect())
 
 
-def of_months(tables: Tables, months: list[str]) -> Tables:
-    """All rows of the orders that have a raw row in one of the months."""
-    ids = tables.orders.filter(month_key().isin(months)).select("order_id").distinct()
-    parts = {name: getattr(tables, name).join(ids, "order_id", "left_semi") for name in BY_ORDER}
-    return replace(tables, **parts)
+def orders_of_months(tables: Tables, months: list[str]) -> DataFrame:
+    """Ids of the orders that have a raw row in one of the months."""
+    return tables.orders.filter(month_key().isin(months)).select("order_id").distinct()
 
 
 def refresh(spark: SparkSession, tables: Tables, path: str, order_ids: DataFrame) -> list[str]:
@@ -59,13 +56,14 @@ def refresh(spark: SparkSession, tables: Tables, path: str, order_ids: DataFrame
     Folders are replaced by one job after the new rows have been written aside, and a run that fails can be repeated with
     the same ids.
     """
-    with scope(spark):
+    with scope(spark), shuffles_freed(spark):
         ids = stage(order_ids.select("order_id").distinct())
         months = touched_months(spark, tables, path, ids)
         if not months:
             return []
-        built = silver.silver_orders(of_months(tables, months)).withColumn(MONTH, month_key())
-        built = stage(built.filter(F.col(MONTH).isin(months)))
+        theirs = stage(orders_of_months(tables, months))
+        built = silver.silver_orders(tables, lambda df: df.join(theirs, "order_id", "left_semi"), few=True)
+        built = stage(built.withColumn(MONTH, month_key()).filter(F.col(MONTH).isin(months)))
         (
             built.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

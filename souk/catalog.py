@@ -347,7 +347,7 @@ def purchase_calendar(s: Shop) -> DataFrame:
 def colocated_orders(s: Shop) -> DataFrame:
     """The wide order row from tables written in buckets of the order id."""
     root = staged_path(s.spark)
-    n_buckets = int(s.spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = colocated.bucket_count(s.tables, int(s.spark.conf.get("spark.sql.shuffle.partitions")))
     colocated.write(s.tables, root, n_buckets)
     return colocated.merged_orders(colocated.read(s.spark, root, n_buckets))
 

@@ -17,11 +17,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souk.operators.staging import shuffles_freed
 from souk.plans import silver
 from souk.sources import buckets
 from souk.sources.tables import Tables
 
 KEY = "order_id"
+#: So many items suit one task, which reads them three times, with their payments and reviews.
+BUCKET_ITEMS = 400_000
 
 
 @dataclass(frozen=True)
@@ -34,6 +37,19 @@ class OrderTables:
     reviews: DataFrame
 
 
+def bucket_count(tables: Tables, least: int) -> int:
+    """``least`` buckets, or as many as keep each to about ``BUCKET_ITEMS`` items."""
+    return max(least, -(-tables.order_items.count() // BUCKET_ITEMS))
+
+
+def orders_to_write(tables: Tables) -> DataFrame:
+    """One row per order with its customer. Only ids go to the customers, unless an order has none by which its customer
+    could come back."""
+    if tables.orders.filter(F.col(KEY).isNull()).isEmpty():
+        return silver.orders_by_customer_id(tables.orders, tables.customers)
+    return silver.orders_with_customers(tables)
+
+
 def write(tables: Tables, root: str, n_buckets: int) -> None:
     """Write the four tables below ``root``, each in ``n_buckets`` buckets; a bucket should suit one task.
 
@@ -41,12 +57,12 @@ def write(tables: Tables, root: str, n_buckets: int) -> None:
     one leave no cores idle. An executor runs no more tasks at once than before.
     """
     parts = {
-        "orders": silver.orders_with_customers(tables),
+        "orders": orders_to_write(tables),
         "facts": silver.items_with_facts(tables),
         "payments": tables.payments,
         "reviews": tables.reviews,
     }
-    with ThreadPoolExecutor(len(parts)) as pool:
+    with shuffles_freed(tables.orders.sparkSession), ThreadPoolExecutor(len(parts)) as pool:
         running = []
         for name, df in parts.items():
             rows = df if name == "orders" else df.filter(F.col(KEY).isNotNull())

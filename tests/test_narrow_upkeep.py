@@ -1,7 +1,7 @@
 """Upkeep and buckets: rows of the orders kept, few bytes on the way, no shuffle files left."""
 
 import glob
-import tempfile
+import time
 from dataclasses import replace
 
 import pytest
@@ -46,12 +46,17 @@ def test_few_ids_reach_the_scans(spark, tables):  # noqa: F811
 
 
 def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    own = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
     def files():
-        return set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+        return {f for folder in own for f in glob.glob(f"{folder}/*/shuffle_*.data")}
 
     before, setting = files(), spark.conf.get(CLEANED, None)
     with shuffles_freed(spark):
         spark.range(1000).repartition(4).groupBy((F.col("id") % 10).alias("k")).count().write.parquet(f"{tmp_path}/t")
+    until = time.time() + 20  # files go in the background
+    while not files() <= before and time.time() < until:
+        time.sleep(0.1)
     assert files() <= before and spark.conf.get(CLEANED, None) == setting
     assert spark.read.parquet(f"{tmp_path}/t").count() == 10
 
